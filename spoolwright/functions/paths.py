@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,17 +33,21 @@ def root_pairs(roots: DataFrame) -> list[tuple[str, str]]:
 
 
 def file_key(path: Column, roots: list[tuple[str, str]]) -> Column:
-    """Equal for two spellings of one file: slashed form with the leading root replaced by its canonical root."""
-    p = slashed(path)
-    if not roots:
-        return p
+    """Equal for two spellings of one file: slashed form with the leading root replaced by its canonical root.
 
-    def step(otherwise: Column, pair: tuple[str, str]) -> Column:
-        root, canonical = pair
-        hit = (p == F.lit(root)) | p.startswith(root + "/")
-        return F.when(hit, F.concat(F.lit(canonical), F.substring(p, len(root) + 1, 1 << 30))).otherwise(otherwise)
-
-    return reduce(step, reversed(roots), p)
+    The expression is long: select it under a name of its own before using it several times.
+    """
+    key = slashed(path)
+    if not roots:
+        return key
+    by_canonical: dict[str, list[str]] = {}
+    for root, canonical in roots:
+        by_canonical.setdefault(canonical, []).append(root)
+    # a replaced root is marked until all are through, so that none is replaced twice
+    for canonical, own in by_canonical.items():
+        longest = "|".join("\\Q" + root + "\\E" for root in sorted(own, key=len, reverse=True))
+        key = F.regexp_replace(key, f"^(?:{longest})(?=/|$)", "\x01" + canonical.replace("\\", "\\\\").replace("$", "\\$"))
+    return F.regexp_replace(key, "^\x01", "")
 
 
 def without_extension(key: Column) -> Column:
