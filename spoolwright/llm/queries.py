@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolwright.llm import consistent, overlap
+from spoolwright.llm import consistent, containers, encode, overlap, pieces, splits
 from spoolwright.session import table
 
 
@@ -37,11 +37,55 @@ def p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return tuple(table(spark, sf_dir, t) for t in ("manifest_rows", "batch_map", "path_roots"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.mixed_recordings(*_corpus(spark, sf_dir))
+
+
+def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new split of every row."""
+    return splits.grouped_splits(*_corpus(spark, sf_dir))
+
+
+def _plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.cut_plans(*(table(spark, sf_dir, t) for t in ("cut_tasks", "segment_refs", "path_roots")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plans(spark, sf_dir).select("task_id", "cut_kind")
+
+
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.pieces(_plans(spark, sf_dir))
+
+
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.encoded(table(spark, sf_dir, "documents"))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers.packed(encode.token_counts(table(spark, sf_dir, "documents")))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers.cut_documents(_packed(spark, sf_dir))
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container and place of every document or piece of one."""
+    return _packed(spark, sf_dir)
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers.fill_report(_packed(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found,
-    "p1_report": p1_report,
-    "p4_found": p4_found,
-    "p4_texts": p4_texts,
+    f.__name__: f
+    for f in (p1_found, p1_report, p3_found, p3_splits, p4_found, p4_texts, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p7_fill)
 }
 ORACLES: dict[str, str] = {}
 
