@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolwright.llm import consistent, containers, encode, overlap, pieces, splits
+from spoolwright.llm import consistent, containers, encode, overlap, pieces, reading, splits
 from spoolwright.session import table
 
 
@@ -83,9 +83,28 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containers.fill_report(_packed(spark, sf_dir))
 
 
+def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return reading.levels(documents, reading.fitted(documents, table(spark, sf_dir, "reading_labels")))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.banded(_levels(spark, sf_dir))
+
+
+def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _levels(spark, sf_dir)
+
+
+def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by source, language and level."""
+    sources = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return _levels(spark, sf_dir).join(sources, "doc_id").groupBy("source", "english", "level").agg(F.count(F.lit(1)).alias("documents"), F.sum("words").alias("words"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_report, p3_found, p3_splits, p4_found, p4_texts, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p7_fill)
+    for f in (p1_found, p1_report, p3_found, p3_splits, p4_found, p4_texts, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p7_fill, p8_found, p8_levels, p8_profile)
 }
 ORACLES: dict[str, str] = {}
 

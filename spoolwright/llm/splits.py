@@ -140,7 +140,7 @@ def dealt_roots(groups: DataFrame, shares: tuple[tuple[str, float], ...] = SPLIT
     """root, split: every group's split, so that the rows come as near to the shares as the groups allow.
 
     groups: root, rows. The few groups above a thousandth of all rows (LARGE at most can be) are placed on the driver,
-    largest first, where most is missing. The others are dealt band by band (powers of two of their size), in hash
+    largest first, where most is missing. The others are dealt band by band (quarter powers of two of their size), in hash
     order, at the rates that fill what is missing.
     """
     total = groups.agg(F.sum("rows")).first()[0] or 0
@@ -154,7 +154,7 @@ def dealt_roots(groups: DataFrame, shares: tuple[tuple[str, float], ...] = SPLIT
     small = groups.where(F.col("rows") * LARGE <= total)
     want = {name: max(0.0, x) for name, x in missing.items()}
     whole = sum(want.values()) or 1.0
-    banded = small.select("root", F.floor(F.log2(F.col("rows"))).cast("int").alias("band"), F.xxhash64(F.lit("deal"), "root").alias("h")).withColumn("cell", F.pmod(F.col("h"), F.lit(CELLS)))
+    banded = small.select("root", F.floor(4 * F.log2(F.col("rows"))).cast("int").alias("band"), F.xxhash64(F.lit("deal"), "root").alias("h")).withColumn("cell", F.pmod(F.col("h"), F.lit(CELLS)))
     before = banded.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")).select("band", "cell", (F.sum("n").over(Window.partitionBy("band").orderBy("cell")) - F.col("n")).alias("before"))
     ranked = banded.join(before, ["band", "cell"]).select("root", "band", (F.col("before") + F.row_number().over(Window.partitionBy("band", "cell").orderBy("h", "root")) - 1).alias("rank"))
     # systematic: every split in turn takes its rate of the ranks that are left; each band starts at another point
