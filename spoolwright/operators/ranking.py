@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from spoolwright.functions import scores
 from spoolwright.operators.metrics import PLACES
 
-_ALL = Window.partitionBy()
+
+def _all():
+    """All rows: a summary has one for each model."""
+    return Window.partitionBy()
 
 
 def competition_ranks(models: DataFrame, better_high: str, better_low: str, weights: tuple[float, float] = (0.6, 0.4)) -> DataFrame:
@@ -22,12 +25,12 @@ def competition_ranks(models: DataFrame, better_high: str, better_low: str, weig
 
 def z_scores(models: DataFrame, *columns: str) -> DataFrame:
     """The rows with z_<column>: distance to the mean in population deviations; null stays null."""
-    return models.withColumns({f"z_{c}": F.round((F.col(c) - F.avg(c).over(_ALL)) / (F.stddev_pop(c).over(_ALL) + 1e-9), PLACES) for c in columns})
+    return models.withColumns({f"z_{c}": F.round((F.col(c) - F.avg(c).over(_all())) / (F.stddev_pop(c).over(_all()) + 1e-9), PLACES) for c in columns})
 
 
 def min_max(column: str, constant: float) -> Column:
     """0 to 1 over all rows; the given value where all rows are equal."""
-    low, high = F.min(column).over(_ALL), F.max(column).over(_ALL)
+    low, high = F.min(column).over(_all()), F.max(column).over(_all())
     return F.when(F.col(column).isNull(), None).when(high > low, (F.col(column) - low) / (high - low)).otherwise(constant)
 
 
