@@ -53,7 +53,7 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "batch_map").select("map_id", "original_file", "start_sec", "gap_sec")
-    rows.write.option("header", True).option("escape", '"').csv(path := _place(spark, "csv"))
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path := _place(spark, "csv"))
     back = spark.read.option("header", True).option("escape", '"').csv(path)
     return readers.typed(back, {"map_id": "bigint", "start_sec": "double", "gap_sec": "double"})
 
@@ -61,7 +61,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to two outputs in one pass, read back and counted."""
     writers.write_split(table(spark, sf_dir, "manifest_rows").select("row_id", "audio_path"), F.lower("audio_path").contains("__reverb__"), path := _place(spark, "split"))
-    return spark.read.parquet(path).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("row_id").alias("ids"))
+    return spark.read.parquet(path).withColumn("side", F.col("side").cast("boolean")).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("row_id").alias("ids"))
 
 
 def csv_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
