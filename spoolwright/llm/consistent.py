@@ -44,7 +44,7 @@ LATIN_LOOKS = {
     "Cherokee": dict(zip("ᎪᎳᎬᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ", "AWEHJKLMPRSTVWZ", strict=True)),
 }
 # Latin letters that are not the ordinary ones, and those they look like.
-LATIN_VARIANTS = dict(zip("ɑɡıſȷɩʏɪʟɴʀꞬꞮ", "agisjiyilnrgi", strict=True))
+LATIN_VARIANTS = dict(zip("ɑɡſȷɩʏɪʟɴʀꞬꞮ", "agsjiyilnrgi", strict=True))
 
 
 def _chars(ranges: tuple[tuple[int, int], ...]) -> Iterator[str]:

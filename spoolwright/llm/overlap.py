@@ -97,7 +97,7 @@ def counted(reps: DataFrame, mask: int, size: int = SKETCH) -> np.ndarray:
 
     rows = reps.select("n", "words").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size, np.int64)
-    out[rows["at"].to_numpy()] = rows["n"].to_numpy()
+    out[rows["at"].to_numpy().astype(np.int64)] = rows["n"].to_numpy().astype(np.int64)
     return out
 
 
@@ -238,8 +238,8 @@ def near_classes(reps: DataFrame, mask: int = 0, edits: tuple[int, int] = EDITS)
 
 
 def _sided(rows: DataFrame) -> DataFrame:
-    """The rows of the three splits, with train (boolean)."""
-    return rows.where(F.col("split_name").isin(TRAIN, *EVALUATION)).withColumn("train", F.col("split_name") == TRAIN)
+    """The rows of the three splits, with train (boolean). A row without an id can't be named in a pair and is left out."""
+    return rows.where(F.col("row_id").isNotNull()).where(F.col("split_name").isin(TRAIN, *EVALUATION)).withColumn("train", F.col("split_name") == TRAIN)
 
 
 def path_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
