@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoolwright.llm import consistent, containers, encode, overlap, pieces, reading, splits
+from spoolwright.llm.oracles import ORACLES
 from spoolwright.session import table
 
 
@@ -106,7 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (p1_found, p1_report, p3_found, p3_splits, p4_found, p4_texts, p5_found, p5_pieces, p6_ids, p7_found, p7_containers, p7_fill, p8_found, p8_levels, p8_profile)
 }
-ORACLES: dict[str, str] = {}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
