@@ -49,7 +49,7 @@ def sliced_text(segments: list[str], corrected: str) -> tuple[list[str], str]:
         if ends:
             ends[-1] = len(words)
         way = "words"
-    begins = [0, *ends[:-1]]
+    begins = [0, *ends][: len(ends)]
     return [" ".join(words[s:e]) for s, e in zip(begins, ends, strict=True)], way
 
 
