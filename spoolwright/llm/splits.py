@@ -39,24 +39,28 @@ def recording_nodes(rows: DataFrame, batch_map: DataFrame, roots: DataFrame) ->
     length are ignored, as are null and empty names.
     """
     pairs = root_pairs(roots)
-    rows = rows.select("row_id", "split_name", "uid", "base_uid", "aug_stage", "start_sec", "end_sec", file_key(F.col("audio_path"), pairs).alias("path"), without_extension(file_key(F.col("source_audio"), pairs)).alias("recording"))
-    path, recording = F.col("path"), F.col("recording")
-    in_chunks = r"^(?:(.*)/)?chunks/([^/]+)/(.+)__chunk\d+(?:__[^/]*?)?(?:\.[^./]*)?$"
-    from_chunk = F.when(path.rlike(in_chunks), F.regexp_replace(path, in_chunks, "$1/recordings/$2/$3"))
-    base = F.coalesce(F.nullif(F.trim("base_uid"), F.lit("")), F.nullif(F.regexp_extract(path, r"(?:^|/)aug/([^/_]+)_[^/_]+__[^/]*$", 1), F.lit("")))
-    augmented = (F.coalesce("aug_stage", F.lit("")) != "") | F.coalesce(path.rlike("(?:^|/)aug/"), F.lit(False)) | F.coalesce(F.col("base_uid") != F.col("uid"), F.lit(False))
-    named = rows.select(
-        "row_id",
-        "split_name",
-        _node("u", F.col("uid")).alias("uid_node"),
-        _node("r", F.coalesce(F.nullif(recording, F.lit("")), from_chunk)).alias("rec_node"),
-        _node("u", F.when(augmented & (base != F.coalesce("uid", F.lit(""))), base)).alias("base_node"),
-        F.when(path.rlike("(?:^|/)batches/"), path).alias("batch"),
-        whole_ms(F.col("start_sec")).alias("s"),
-        whole_ms(F.col("end_sec")).alias("e"),
-    )
-    packed = named.where("rec_node is null and batch is not null and s is not null and e is not null")
-    others = named.where("not (rec_node is null and batch is not null and s is not null and e is not null)")
+    some = lambda c: F.nullif(c, F.lit(""))
+    # in steps, so that no long expression is worked out more than once for a row
+    keyed = rows.select(
+        "row_id", "split_name", "uid", F.trim("base_uid").alias("base"), F.coalesce("aug_stage", F.lit("")).alias("stage"), whole_ms(F.col("start_sec")).alias("s"), whole_ms(F.col("end_sec")).alias("e"),
+        file_key(F.col("audio_path"), pairs).alias("path"), without_extension(file_key(F.col("source_audio"), pairs)).alias("source"),
+    )
+    folder = F.regexp_extract("path", r"^(?:[^/]*/)*?(chunks|aug|batches)/", 1)
+    known = keyed.withColumn("folder", F.coalesce(folder, F.lit("")))
+    cut_from = F.when(F.col("folder") == "chunks", F.regexp_replace("path", r"(^|/)chunks/([^/]+)/(.+)__chunk\d+(?:__[^/]*?)?(?:\.[^./]*)?$", "$1recordings/$2/$3"))
+    made_of = F.when(F.col("folder") == "aug", F.regexp_extract("path", r"(?:^|/)aug/([^/_]+)_[^/_]+__[^/]*$", 1))
+    led = known.withColumns({"cut_from": cut_from, "made_of": made_of})
+    recording = F.coalesce(some(F.col("source")), F.when(F.col("cut_from") != F.col("path"), F.col("cut_from")))
+    augmented = (F.col("stage") != "") | (F.col("folder") == "aug") | F.coalesce(F.col("base") != F.col("uid"), F.lit(False))
+    based = led.withColumns({"recording": recording, "base": F.when(augmented, F.coalesce(some(F.col("base")), some(F.col("made_of"))))})
+    named = cut(
+        based.select(
+            "row_id", "split_name", _node("u", F.col("uid")).alias("uid_node"), _node("r", F.col("recording")).alias("rec_node"), F.when(~F.col("base").eqNullSafe(F.col("uid")), _node("u", F.col("base"))).alias("base_node"),
+            F.when((F.col("folder") == "batches") & F.col("recording").isNull(), F.col("path")).alias("batch"), "s", "e",
+        ),
+        "row-keys",
+    )
+    packed, others = named.where("batch is not null"), named.where("batch is null")
     stretches = (
         batch_map.select(file_key(F.col("batch_file"), pairs).alias("batch"), _node("r", without_extension(file_key(F.col("original_file"), pairs))).alias("rec"), whole_ms(F.col("start_sec")).alias("ms"), whole_ms(F.col("end_sec")).alias("me"))
         .where("me > ms and rec is not null")
@@ -65,7 +69,7 @@ def recording_nodes(rows: DataFrame, batch_map: DataFrame, roots: DataFrame) ->
     )
     within = packed.select("row_id", "batch", "s", "e", F.floor(F.col("s") / BIN_MS).alias("bin")).join(stretches, ["batch", "bin"]).where("ms <= s and e <= me").groupBy("row_id").agg(F.min("rec").alias("rec"))
     columns = ["row_id", "split_name", "uid_node", "rec_node", "base_node"]
-    found = packed.drop("rec_node").join(within, "row_id", "left").withColumnRenamed("rec", "rec_node").select(*columns)
+    found = cut(packed.drop("rec_node").join(within, "row_id", "left").withColumnRenamed("rec", "rec_node").select(*columns), "packed-rows")
     return others.select(*columns).unionByName(found).withColumn("base_node", F.when(F.col("rec_node").isNull(), F.col("base_node")))
 
 
@@ -117,7 +121,7 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def grouped_rows(rows: DataFrame, batch_map: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(row_id, split_name, node, leads: whether the row leads anywhere), and (node, root, recorded: whether its component holds a recording, rows, splits: those of its component's rows that lead there)."""
-    nodes = cut(recording_nodes(rows, batch_map, roots), "row-nodes")
+    nodes = recording_nodes(rows, batch_map, roots)
     forest, _ = spanning_forest(links(nodes))
     lead = F.coalesce("rec_node", "base_node")
     placed = nodes.select("row_id", "split_name", F.coalesce(lead, "uid_node", F.xxhash64(F.lit("row"), "row_id")).alias("node"), lead.isNotNull().alias("leads"), F.col("rec_node").isNotNull().alias("direct"))
