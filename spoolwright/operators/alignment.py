@@ -13,11 +13,31 @@ from pyspark.sql import functions as F
 MAX_CLUSTERED = 5000
 
 
-def word_alignment(a: list[str], b: list[str]) -> list[int]:
-    """For each word of a the number of words of b that lie before it in a cheapest alignment, and len(b) at the end."""
-    n, m = len(a), len(b)
-    number = {w: i for i, w in enumerate(dict.fromkeys(a + b))}
-    x, y = (np.array([number[w] for w in s], int) for s in (a, b))
+#: Cells of the distance table that are held at once; larger stretches are halved first.
+MAX_CELLS = 1 << 22
+
+
+def _last_row(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of all of x to every beginning of y."""
+    step = np.arange(len(y) + 1, dtype=np.int32)
+    row = step.copy()
+    for i, w in enumerate(x, 1):
+        cur = np.empty_like(row)
+        cur[0] = i
+        np.minimum(row[1:] + 1, row[:-1] + (y != w), out=cur[1:])
+        row = np.minimum.accumulate(cur - step) + step
+    return row
+
+
+def _aligned(x: np.ndarray, y: np.ndarray, shift: int, out: np.ndarray, at: int) -> None:
+    """Fills out[at:at + len(x)] for a stretch without anchors."""
+    n, m = len(x), len(y)
+    if n > 1 and (n + 1) * (m + 1) > MAX_CELLS:
+        half = n // 2
+        best = int(np.argmin(_last_row(x[:half], y) + _last_row(x[half:][::-1], y[::-1])[::-1]))
+        _aligned(x[:half], y[:best], shift, out, at)
+        _aligned(x[half:], y[best:], shift + best, out, at + half)
+        return
     step = np.arange(m + 1, dtype=np.int32)
     table = [step.copy()]
     for i in range(1, n + 1):
@@ -25,15 +45,65 @@ def word_alignment(a: list[str], b: list[str]) -> list[int]:
         cur[0] = i
         np.minimum(table[-1][1:] + 1, table[-1][:-1] + (y != x[i - 1]), out=cur[1:])
         table.append(np.minimum.accumulate(cur - step) + step)
-    out, j = [0] * (n + 1), m
-    out[n] = m
+    j = m
     for i in range(n, 0, -1):
-        while j and table[i][j] == table[i][j - 1] + 1 and not (table[i][j] == table[i - 1][j - 1] + (x[i - 1] != y[j - 1])):
-            j -= 1
-        if j and table[i][j] == table[i - 1][j - 1] + (x[i - 1] != y[j - 1]):
+        diagonal = lambda: j and table[i][j] == table[i - 1][j - 1] + (x[i - 1] != y[j - 1])  # noqa: B023, E731
+        while j and not diagonal() and table[i][j] == table[i][j - 1] + 1:
             j -= 1
-        out[i - 1] = j
-    return out
+        j -= bool(diagonal())
+        out[at + i - 1] = shift + j
+
+
+def _anchors(x: np.ndarray, y: np.ndarray, n: int = 3) -> list[tuple[int, int]]:
+    """Places of runs of n words that occur once on both sides, in the longest order that both share."""
+    from bisect import bisect_left
+
+    def once(s: np.ndarray) -> dict[tuple, int]:
+        seen: dict[tuple, int] = {}
+        for i in range(len(s) - n + 1):
+            k = tuple(s[i : i + n].tolist())
+            seen[k] = -1 if k in seen else i
+        return seen
+
+    right = once(y)
+    both = sorted((i, right[k]) for k, i in once(x).items() if i >= 0 and right.get(k, -1) >= 0)
+    tails: list[int] = []
+    where: list[int] = []
+    before = [-1] * len(both)
+    for k, (_, j) in enumerate(both):
+        p = bisect_left(tails, j)
+        before[k] = where[p - 1] if p else -1
+        if p == len(tails):
+            tails.append(j)
+            where.append(k)
+        else:
+            tails[p], where[p] = j, k
+    chain, k = [], where[-1] if where else -1
+    while k >= 0:
+        chain.append(both[k])
+        k = before[k]
+    return chain[::-1]
+
+
+def word_alignment(a: list[str], b: list[str]) -> list[int]:
+    """For each word of a the number of words of b that lie before it in an alignment of few edits, and len(b) at the end.
+
+    Words around which both texts have the same unique run of three are fixed first; the stretches between are aligned
+    at the least cost, in memory that is linear in their length where they are long.
+    """
+    number = {w: i for i, w in enumerate(dict.fromkeys(a + b))}
+    x, y = (np.array([number[w] for w in s], np.int64) for s in (a, b))
+    out = np.zeros(len(a) + 1, np.int64)
+    i = j = 0
+    for p, q in [*_anchors(x, y), (len(a), len(b))]:
+        if p < i or q < j:  # inside the run of the anchor before
+            continue
+        _aligned(x[i:p], y[j:q], j, out, i)
+        if p < len(a):
+            out[p] = q
+        i, j = p + 1, q + 1
+    out[len(a)] = len(b)
+    return out.tolist()
 
 
 def sliced_text(segments: list[str], corrected: str) -> tuple[list[str], str]:

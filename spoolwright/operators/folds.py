@@ -1,7 +1,8 @@
 """Folds whose state no window frame expresses, one document at a time.
 
-Each runs on a sorted array of one document's rows (a recording, a folder), inside Arrow batches; no document waits for
-another, and only the columns that the fold needs are gathered.
+Each runs on a sorted array of one document's rows (a recording, a folder), or of a stretch of them between places where
+the state starts anew, inside Arrow batches; no document waits for another, and only the columns that the fold needs are
+gathered.
 """
 
 from __future__ import annotations
@@ -9,14 +10,25 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def folded(df: DataFrame, key: str, order: list[str], columns: dict[str, Column], fold: Callable[[list[dict]], list[dict]], result: str) -> DataFrame:
-    """key and the fold's rows (DDL `result`) of each document."""
-    rows = df.select(F.col(key).alias("__key"), F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[c.alias(n) for n, c in columns.items()]).alias("r"))
-    arrays = rows.groupBy("__key").agg(F.sort_array(F.collect_list("r")).alias("rows"))
+def folded(df: DataFrame, key: str, order: list[str], columns: dict[str, Column], fold: Callable[[list[dict]], list[dict]], result: str, breaks: Callable[[Callable[[Column], Column]], Column] | None = None) -> DataFrame:
+    """key, part and the fold's rows (DDL `result`) of each document.
+
+    breaks: given a function that looks one row back, a condition under which the fold's state starts anew anyway. A
+    document is then gathered stretch by stretch, however many rows it has, and part counts within a stretch. Without
+    breaks a document's rows are gathered together, so it is for documents of bounded size.
+    """
+    if breaks is not None:
+        w = Window.partitionBy(key).orderBy(*order)
+        fresh = F.coalesce(breaks(lambda c: F.lag(c).over(w)), F.lit(True))
+        df = df.withColumn("__fresh", fresh.cast("int")).withColumn("__stretch", F.sum("__fresh").over(w))
+    else:
+        df = df.withColumn("__stretch", F.lit(0))
+    rows = df.select(F.col(key).alias("__key"), "__stretch", F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[c.alias(n) for n, c in columns.items()]).alias("r"))
+    arrays = rows.groupBy("__key", "__stretch").agg(F.sort_array(F.collect_list("r")).alias("rows")).drop("__stretch")
     kind = df.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -90,14 +90,14 @@ def batch_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def words_to_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detected words of each recording joined to segments (stateful fold, no SQL form)."""
     s = table(spark, sf_dir, "speech_segments").where(_OK)
-    return folds.folded(s, "audio_path", ["start_time", "end_time", "segment_id"], {"start": F.col("start_time"), "end": F.col("end_time"), "word": F.coalesce("text", F.lit(""))}, lambda r: folds.words_to_segments(r, 0.6, 12.0), "start double, end double, text string, n int")
+    return folds.folded(s, "audio_path", ["start_time", "end_time", "segment_id"], {"start": F.col("start_time"), "end": F.col("end_time"), "word": F.coalesce("text", F.lit(""))}, lambda r: folds.words_to_segments(r, 0.6, 12.0), "start double, end double, text string, n int", lambda back: F.col("start_time") - back(F.col("end_time")) >= 0.6)
 
 
 def chunk_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of each recording merged to chunks (stateful fold, no SQL form)."""
+    """Segments of each recording merged to chunks (stateful fold, no SQL form). After a pause longer than a chunk may be nothing is merged."""
     s = table(spark, sf_dir, "segment_refs").where("audio_path is not null and not isnan(end_sec)")
     columns = {"start": F.col("start_sec"), "end": F.col("end_sec"), "text": F.col("text")}
-    return folds.folded(s, "audio_path", ["idx", "seg_key"], columns, lambda r: [{k: x[k] for k in ("start", "end", "text", "n")} for x in folds.chunks_of_segments(r, 6.0, 1.0, 20.0)], "start double, end double, text string, n int")
+    return folds.folded(s, "audio_path", ["idx", "seg_key"], columns, lambda r: [{k: x[k] for k in ("start", "end", "text", "n")} for x in folds.chunks_of_segments(r, 6.0, 1.0, 20.0)], "start double, end double, text string, n int", lambda back: F.col("start_sec") - back(F.col("end_sec")) > 20.0)
 
 
 def greedy_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,3 +62,16 @@ def test_run_names(spark):
     name = runs.run_name(kind=F.lit("Evaluation"), stage=F.lit("19 c"), id=F.lit("x-1"))
     row = spark.range(1).select(name.alias("n"), runs.parsed(name).alias("p"), runs.parsed(F.lit("kind-a__stage-b")).alias("q"), runs.latest_epoch(F.array(F.lit("epoch_2"), F.lit("checkpoint-10"), F.lit("z"))).alias("e")).first()
     assert row.n.startswith("kind-eval__stage-19-c__base-na") and row.p.id == "x-1" and row.p.kind == "eval" and row.q is None and row.e == 10
+
+
+def test_long_texts_are_aligned_in_little_memory(monkeypatch):
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in rng.integers(0, 40, 4000)]
+    kept = rng.random(4000) > 0.1
+    at = alignment.word_alignment(words, [w for w, k in zip(words, kept) if k])
+    want = np.r_[0, np.cumsum(kept)]
+    assert np.abs(np.array(at) - want).max() <= 6 and (np.diff(at) >= 0).all()
+    monkeypatch.setattr(alignment, "MAX_CELLS", 50)
+    a, b = list("aabbaabbab"), list("abbaabbbab")
+    small = alignment.word_alignment(a, b)
+    assert (np.diff(small) >= 0).all() and small[-1] == len(b)
