@@ -205,7 +205,8 @@ def near_classes(reps: DataFrame, mask: int = 0, edits: tuple[int, int] = EDITS)
     e, t = (keys(reps.where(side), sketch, mask, edits).alias(name) for side, name in (("not train", "e"), ("train", "t")))
     k = F.floor(F.greatest(F.col("e.n"), F.col("t.n")) * num / den)
     near = (F.abs(F.col("e.n") - F.col("t.n")) <= k) & (F.bit_count(F.col("e.bits").bitwiseXOR(F.col("t.bits"))) <= 2 * k)
-    pairs = e.join(t, (F.col("e.key") == F.col("t.key")) & near).select(F.col("e.row_id").alias("eval_id"), F.col("t.row_id").alias("train_id")).distinct()
+    # merged, never broadcast: Spark takes the keys for as small as the records that they come from
+    pairs = e.join(t.hint("merge"), (F.col("e.key") == F.col("t.key")) & near).select(F.col("e.row_id").alias("eval_id"), F.col("t.row_id").alias("train_id")).distinct()
     words = reps.select("row_id", "words")
     full = pairs.join(words.withColumnsRenamed({"row_id": "eval_id", "words": "a"}), "eval_id").join(words.withColumnsRenamed({"row_id": "train_id", "words": "b"}), "train_id")
 
@@ -244,7 +245,7 @@ def _sided(rows: DataFrame) -> DataFrame:
 
 def path_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """eval_id, train_id of rows that name the same stretch of the same file: the whole record as one chunk, its digest joined across the splits."""
-    key = F.struct(file_key(F.col("audio_path"), root_pairs(roots)).alias("f"), "start_sec", "end_sec")
+    key = F.struct(file_key(F.col("audio_path"), root_pairs(roots)).alias("f"), *[(F.col(c) + 0.0).alias(c) for c in ("start_sec", "end_sec")])  # -0.0 is 0.0
     marked = _sided(rows).where("audio_path is not null").select("row_id", "train", F.unhex(F.md5(F.to_json(key))).alias("d"))
     e, t = marked.where("not train").alias("e"), marked.where("train").alias("t")
     return e.join(t, F.col("e.d") == F.col("t.d")).select(F.col("e.row_id").alias("eval_id"), F.col("t.row_id").alias("train_id"))
