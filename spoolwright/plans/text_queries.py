@@ -199,6 +199,8 @@ t AS (SELECT *, coalesce(p <> '' AND (p IN ('hello', 'thank you', 'okay so', 'bo
 SELECT segment_id, score, trivial, CASE WHEN coalesce(p, '') = '' THEN false WHEN NOT trivial THEN true WHEN score >= 60 THEN {_BUCKET.format(k="segment_id", n=10000)} < 3000 ELSE false END AS keep FROM t""",
     "duration_buckets": """WITH a AS (SELECT coalesce(CASE WHEN NOT isnan(duration) THEN duration END, 0.0) AS d, avg_amplitude FROM audio_segments)
 SELECT CASE WHEN d < 1 THEN '0-1s' WHEN d < 2 THEN '1-2s' WHEN d < 5 THEN '2-5s' WHEN d < 10 THEN '5-10s' ELSE '10s+' END AS bucket, count(*) AS n, round(avg(avg_amplitude), 6) AS amplitude FROM a GROUP BY 1""",
+    "flags_and_lists": r"""SELECT event_id, substr(event_type, 1, 1) IN ('1', 't', 'y') AS flag, 2 AS numbers, CASE WHEN length(s) <= 32 THEN s ELSE substr(s, 1, 23) || '_' || substr(sha1(c), 1, 8) END AS slug FROM (
+    SELECT event_id, event_type, c, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(c, '[^A-Za-z0-9._\-]+', '_', 'g'), '_{2,}', '_', 'g'), '^[_.\-]+|[_.\-]+$', '', 'g'), ''), 'fallback') AS s FROM (SELECT event_id, event_type, concat_ws(' ', event_type, props) AS c FROM events))""",
     "vtt_render": _CUES.format(text="trim(text)", ticks_s="CAST(round_even(start_sec * 1000, 0) AS BIGINT)", ticks_e="CAST(round_even(end_sec * 1000, 0) AS BIGINT)", line=f"{_VTT.format(x='a')} || ' --> ' || {_VTT.format(x='b')} || chr(10) || t", head="'WEBVTT' || chr(10) || chr(10)", between="chr(10) || chr(10)"),
     "ass_render": _CUES.format(
         text="replace(replace(replace(replace(trim(text), chr(92), chr(92) || chr(92)), '{', chr(92) || '{'), '}', chr(92) || '}'), chr(10), chr(92) || 'N')",
