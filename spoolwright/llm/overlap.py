@@ -246,7 +246,7 @@ def _sided(rows: DataFrame) -> DataFrame:
 def path_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """eval_id, train_id of rows that name the same stretch of the same file: the whole record as one chunk, its digest joined across the splits."""
     key = F.struct(file_key(F.col("audio_path"), root_pairs(roots)).alias("f"), *[(F.col(c) + 0.0).alias(c) for c in ("start_sec", "end_sec")])  # -0.0 is 0.0
-    marked = _sided(rows).where("audio_path is not null").select("row_id", "train", F.unhex(F.md5(F.to_json(key))).alias("d"))
+    marked = cut(_sided(rows).where("audio_path is not null").select("row_id", "train", F.unhex(F.md5(F.to_json(key))).alias("d")), "path-digests")  # worked out once for a row
     e, t = marked.where("not train").alias("e"), marked.where("train").alias("t")
     return e.join(t, F.col("e.d") == F.col("t.d")).select(F.col("e.row_id").alias("eval_id"), F.col("t.row_id").alias("train_id"))
 
