@@ -131,12 +131,12 @@ def flags_and_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vtt_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     cues = table(spark, sf_dir, "segment_refs").where("audio_path is not null and not isnan(end_sec)").select("audio_path", F.col("start_sec").alias("start"), F.col("end_sec").alias("end"), "text")
-    return writers.web_vtt(cues, "audio_path").select("audio_path", F.length("subtitles").alias("chars"), F.md5("subtitles").alias("digest"))
+    return writers.web_vtt(cues, "audio_path").select("audio_path", F.length("subtitles").cast("long").alias("chars"), F.md5("subtitles").alias("digest"))
 
 
 def ass_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     cues = table(spark, sf_dir, "segment_refs").where("audio_path is not null and not isnan(end_sec)").select("audio_path", F.col("start_sec").alias("start"), F.col("end_sec").alias("end"), "text")
-    return writers.ass(cues, "audio_path").select("audio_path", F.length("subtitles").alias("chars"), F.md5("subtitles").alias("digest"))
+    return writers.ass(cues, "audio_path").select("audio_path", F.length("subtitles").cast("long").alias("chars"), F.md5("subtitles").alias("digest"))
 
 
 def text_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
