@@ -10,6 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the personalisation of the uid digest.
+PERSON = b"acft"
+
 
 def hash_order(seed: str, key: Column) -> Column:
     """Hexadecimal digest whose order is that of the unsigned 64-bit hash of seed and key: a random but repeatable order."""
@@ -52,4 +55,4 @@ def aug_uid_key(base_uid: Column, stage: Column, copy: Column) -> Column:
 def blake_uid(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """20 hexadecimal digits of BLAKE2b, which Spark has not (Arrow batches)."""
     for s in keys:
-        yield s.map(lambda k: None if k is None else hashlib.blake2b(k.encode(), digest_size=10, person=b"acft").hexdigest())
+        yield s.map(lambda k: None if k is None else hashlib.blake2b(k.encode(), digest_size=10, person=PERSON).hexdigest())
