@@ -9,9 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Vectors of one group that are clustered together: the distances between all are held at once.
+#: Vectors of one group that are clustered in one task, with the distances between all held at once; larger groups are clustered in rounds.
 MAX_CLUSTERED = 5000
 
+#: Clusters of a block, where the distances between two blocks are held at once.
+BLOCK = 2048
+
 
 #: Cells of the distance table that are held at once; larger stretches are halved first.
 MAX_CELLS = 1 << 22
@@ -137,38 +140,148 @@ def corrected_segments(segments: DataFrame, key: str, pos: str, text: str, corre
     return both.mapInPandas(run, kinds).select(key, F.explode("out").alias("o"), "way").select(key, F.col("o.pos").alias(pos), F.col("o.text").alias(text), "way")
 
 
-def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
-    """Cluster of each vector: the closest two clusters by mean cosine distance are joined while they are within the threshold."""
-    n = len(vectors)
-    if n > MAX_CLUSTERED:
-        raise ValueError(f"more than {MAX_CLUSTERED} vectors in a group")
-    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    far = 1 - unit @ unit.T
-    np.fill_diagonal(far, np.inf)
-    size, label = np.ones(n), np.arange(n)
+def _linked(far: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
+    """For each place of a symmetric distance table the first place of its cluster; far and size are used up. The closest pair is found from the least distance of each row."""
+    n = len(far)
+    label, rows = np.arange(n), np.arange(n)
+    near = far.argmin(1) if n else rows
+    least = far[rows, near]
     for _ in range(n - 1):
-        i, j = divmod(int(np.argmin(far)), n)
-        if far[i, j] > threshold:
+        i = int(np.argmin(least))
+        if not least[i] <= threshold:
             break
-        i, j = min(i, j), max(i, j)
+        i, j = sorted((i, int(near[i])))
         row = (far[i] * size[i] + far[j] * size[j]) / (size[i] + size[j])
         far[i], far[:, i] = row, row
         far[i, i] = np.inf
         far[j], far[:, j] = np.inf, np.inf
         size[i] += size[j]
         label[label == j] = i
-    return np.unique(label, return_inverse=True)[1]
+        stale = (near == i) | (near == j)
+        stale[[i, j]] = True
+        closer = ~stale & ((far[:, i] < least) | (far[:, i] == least) & (i < near))
+        near[closer], least[closer] = i, far[closer, i]
+        again = np.flatnonzero(stale)
+        near[again] = far[again].argmin(1)
+        least[again] = far[again, near[again]]
+    return label
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+
+
+def _linked_means(means: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
+    """_linked for clusters by the mean of their unit vectors: the mean cosine distance of two clusters is 1 less the product of their means."""
+    far = means @ means.T
+    np.subtract(1, far, out=far)
+    np.fill_diagonal(far, np.inf)
+    return _linked(far, size, threshold)
+
+
+def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
+    """Cluster of each vector: the closest two clusters by mean cosine distance are joined while they are within the threshold. All distances are held at once; clustered() has no such bound."""
+    if len(vectors) > MAX_CLUSTERED:
+        raise ValueError(f"more than {MAX_CLUSTERED} vectors in one table of distances; clustered() takes larger groups")
+    return np.unique(_linked_means(_unit(vectors), np.ones(len(vectors)), threshold), return_inverse=True)[1]
+
+
+def _nearest(threshold: float):
+    """Nearest clusters of two blocks within the threshold, both ways from one table, so that the distance of a pair is the same number on both sides."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("id")
+        p, q = int(frame["p"].iloc[0]), int(frame["q"].iloc[0])
+        left, right = frame[frame["b"] == p], frame[frame["b"] == q]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": np.zeros(0, np.int64), "near": np.zeros(0, np.int64), "d": np.zeros(0)})
+        x, y = (np.stack(f["s"].to_numpy()) / f["n"].to_numpy()[:, None] for f in (left, right))
+        far = 1 - x @ y.T
+        if p == q:
+            far = np.minimum(far, far.T)
+            np.fill_diagonal(far, np.inf)
+        far[~(far <= threshold)] = np.inf
+        a, b = left["id"].to_numpy(), right["id"].to_numpy()
+        at = far.argmin(1)
+        out = [pd.DataFrame({"id": a, "near": b[at], "d": far[np.arange(len(a)), at]})]
+        if p != q:
+            at = far.argmin(0)
+            out.append(pd.DataFrame({"id": b, "near": a[at], "d": far[at, np.arange(len(b))]}))
+        found = pd.concat(out)
+        return found[np.isfinite(found["d"])]
+
+    return run
+
+
+def _clustered_in_rounds(rows: DataFrame, group: str, key: str, vector: str, threshold: float) -> DataFrame:
+    """clustered() for groups of any size: in each round all pairs of clusters that are nearest to each other are joined.
+
+    Average linkage never brings a joined pair closer to a third cluster than its nearer half was, so such pairs are
+    joined by the plain method too, and a cluster without a neighbour within the threshold is final. Only the sum and the
+    size of a cluster are kept; distances are worked out in blocks, and a group whose open clusters are no more than
+    MAX_CLUSTERED is finished in one task. Where distances are exactly equal another of them may be joined first.
+    """
+    from spoolwright.lineage import cut
+    from spoolwright.operators.order import ranked
+
+    named = rows.select(F.col(group).alias("__group"), F.col(key).alias("__key"), F.col(vector).alias("v"))
+    laid = cut(ranked(named, "__group", "__key", name="id"), "cluster-rows")
+    first = laid.groupBy(F.col("__group").alias("__same")).agg(F.min("id").alias("g"))
+    placed = laid.join(first, F.col("__group").eqNullSafe(F.col("__same"))).drop("__same")
+
+    def start(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                yield pd.DataFrame({"g": f["g"], "id": f["id"], "n": 1.0, "s": list(_unit(np.stack(f["v"].map(lambda v: np.asarray(v, float)))))})
+
+    kinds = "g long, id long, n double, s array<double>"
+    live = cut(placed.select("g", "id", "v").mapInPandas(start, kinds), "clusters")
+    members = cut(placed.select("g", "__group", "__key", "id"), "cluster-members")
+    while True:
+        counts = live.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
+        if counts.where(F.col("m") > MAX_CLUSTERED).isEmpty():
+            break
+        sized = live.join(counts, "g")
+        busy = sized.where(F.col("m") > MAX_CLUSTERED).withColumn("k", F.ceil(F.col("m") / BLOCK))
+        dealt = busy.withColumn("b", F.pmod(F.xxhash64("id"), F.col("k"))).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+        paired = dealt.select("g", F.least("b", "x").alias("p"), F.greatest("b", "x").alias("q"), "b", "id", "n", "s")
+        found = paired.groupBy("g", "p", "q").applyInPandas(_nearest(threshold), "id long, near long, d double")
+        best = cut(found.groupBy("id").agg(F.min(F.struct("d", "near"))["near"].alias("near")), "cluster-nearest")
+        other = best.select(F.col("id").alias("near"), F.col("near").alias("back"))
+        pairs = cut(best.join(other, "near").where("back = id and id < near").select(F.col("near").alias("id"), F.col("id").alias("into")), "cluster-pairs")
+        moved = busy.select("g", "id", "n", "s").join(best.select("id"), "id").join(pairs, "id", "left")
+        sums = moved.groupBy("g", F.coalesce("into", "id").alias("c")).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("id", "s"))).alias("t"))
+        both = F.when(F.size("t") == 2, F.zip_with(F.col("t")[0]["s"], F.get("t", F.lit(1))["s"], lambda x, y: x + y)).otherwise(F.col("t")[0]["s"])
+        live = cut(sums.select("g", F.col("c").alias("id"), "n", both.alias("s")).unionByName(sized.where(F.col("m") <= MAX_CLUSTERED).select("g", "id", "n", "s")), "clusters")
+        members = cut(members.join(pairs, "id", "left").select("g", "__group", "__key", F.coalesce("into", "id").alias("id")), "cluster-members")
+
+    def finish(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("id")
+        size, ids = frame["n"].to_numpy(float).copy(), frame["id"].to_numpy()
+        return pd.DataFrame({"id": ids, "root": ids[_linked_means(np.stack(frame["s"].to_numpy()) / size[:, None], size, threshold)]})
+
+    roots = live.groupBy("g").applyInPandas(finish, "id long, root long")
+    final = cut(members.join(roots, "id", "left").select("g", "__group", "__key", F.coalesce("root", "id").alias("root")), "cluster-roots")
+    numbered = ranked(final.select("g", "root").distinct(), "g", "root")
+    numbered = numbered.join(numbered.groupBy("g").agg(F.min("pos").alias("least")), "g").select("root", (F.col("pos") - F.col("least")).cast("int").alias("cluster"))
+    return final.join(numbered, "root").select(F.col("__group").alias(group), F.col("__key").alias(key), "cluster")
 
 
 def clustered(df: DataFrame, group: str, key: str, vector: str, threshold: float) -> DataFrame:
-    """group, key, cluster: average-linkage clusters within each group (a recording's speakers). A group above MAX_CLUSTERED is refused, not cut."""
+    """group, key, cluster: average-linkage clusters within each group (a recording's speakers). A group of at most MAX_CLUSTERED is one task; larger ones are clustered in rounds over blocks, to the same clusters."""
     kinds = f"{group} {df.schema[group].dataType.simpleString()}, {key} {df.schema[key].dataType.simpleString()}, cluster int"
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(key)
         return pd.DataFrame({group: frame[group], key: frame[key], "cluster": average_linkage(np.stack(frame[vector].map(lambda v: np.asarray(v, float))), threshold).astype(np.int32)})
 
-    return df.where(F.col(vector).isNotNull()).select(group, key, vector).groupBy(group).applyInPandas(run, kinds)
+    rows = df.where(F.col(vector).isNotNull()).select(group, key, vector)
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
+    large = sizes.where(F.col("__n") > MAX_CLUSTERED).select(F.col(group).alias("__group"))
+    if large.isEmpty():
+        return rows.groupBy(group).applyInPandas(run, kinds)
+    same = F.col(group).eqNullSafe(F.col("__group"))
+    return rows.join(large, same, "left_anti").groupBy(group).applyInPandas(run, kinds).unionByName(_clustered_in_rounds(rows.join(large, same, "left_semi"), group, key, vector, threshold))
 
 
 def global_ids(clusters: DataFrame, seconds: DataFrame, group: str, key: str, amount: str) -> DataFrame:

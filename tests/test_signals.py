@@ -58,6 +58,33 @@ def test_clusters():
     assert alignment.average_linkage(v, 0.3).tolist() == [0, 0, 1, 1, 2]
 
 
+def test_large_groups_have_the_same_clusters(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    mids = rng.normal(size=(9, 8))
+    v = {g: (mids[rng.integers(0, 9, n)] + rng.normal(0, 0.6, (n, 8))) for g, n in (("a", 150), (None, 90), ("c", 12))}
+    df = spark.createDataFrame([(g, i, x.tolist()) for g, m in v.items() for i, x in enumerate(m)], "g string, k int, v array<double>")
+    for threshold in (0.15, 0.5, 3.0):
+        want = {(g, i, int(c)) for g, m in v.items() for i, c in enumerate(alignment.average_linkage(m, threshold))}
+        with monkeypatch.context() as small:
+            small.setattr(alignment, "MAX_CLUSTERED", 20)
+            small.setattr(alignment, "BLOCK", 32)
+            assert {tuple(r) for r in alignment.clustered(df, "g", "k", "v", threshold).collect()} == want
+
+
+def test_closest_pairs_first():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(80, 5))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    parts = [[i] for i in range(80)]
+    while True:
+        d, i, j = min((1 - float(np.mean(u[p] @ u[q].T)), i, j) for i, p in enumerate(parts) for j, q in enumerate(parts) if i < j)
+        if d > 0.6:
+            break
+        parts[i] += parts.pop(j)
+    got = alignment.average_linkage(x, 0.6)
+    assert {frozenset(p) for p in parts} == {frozenset(np.flatnonzero(got == c).tolist()) for c in set(got.tolist())}
+
+
 def test_run_names(spark):
     name = runs.run_name(kind=F.lit("Evaluation"), stage=F.lit("19 c"), id=F.lit("x-1"))
     row = spark.range(1).select(name.alias("n"), runs.parsed(name).alias("p"), runs.parsed(F.lit("kind-a__stage-b")).alias("q"), runs.latest_epoch(F.array(F.lit("epoch_2"), F.lit("checkpoint-10"), F.lit("z"))).alias("e")).first()
