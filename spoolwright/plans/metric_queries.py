@@ -154,16 +154,22 @@ def centroid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def max_sim_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector against the stated set of label centroids."""
+    """Every vector against the stated set of label centroids; max_sim_others has the single vectors."""
     e = table(spark, sf_dir, "embeddings")
     return vectors.scored_by(e, "vec_id", "embedding", vectors.centroid(e, "label", "embedding"), "label", "centroid").select("vec_id", "label", "score")
 
 
+def max_sim_others(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector against all single vectors of the other labels: the nearest one and its cosine."""
+    return vectors.nearest_apart(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         item_scores, first_words_wer, metrics_by_condition, metrics_by_duration, stability, tail_quantiles, prediction_summary, pairwise_win_matrix, performance_profile, ecdf, bootstrap_ci, condition_ranks, zscore_separation, pareto_frontier,
         leaderboard, severity_rank, severity_worst, pivot_model_condition, fuzzy_keyword, repeat_shares, multi_dim_summary, payload_size, content_signature, speaker_totals, speed_totals, centroid_scores, max_sim_cohort,
+        max_sim_others,
     )
 }
 
@@ -228,4 +234,6 @@ SELECT source, CAST(sum(n) AS BIGINT) AS files, sha256(string_agg(s, '' ORDER BY
     "speed_totals": "WITH r AS (SELECT is_speech, (epoch_us(ingested_at) - epoch_us(detected_at)) / 1e6 AS wait, duration FROM audio_segments WHERE NOT isnan(duration) AND duration > 0) SELECT is_speech, count(*) AS n, round(min(wait), 3) AS least, round(max(wait), 3) AS most, round(sum(wait) / sum(duration), 4) AS factor FROM r GROUP BY 1",
     "centroid_scores": _MEAN + "SELECT vec_id, round(list_cosine_similarity(v, c), 4) AS score FROM v JOIN c ON c_label = label",
     "max_sim_cohort": _MEAN + "SELECT vec_id, arg_max(c_label, s) AS label, round(max(s), 6) AS score FROM (SELECT vec_id, c_label, list_cosine_similarity(v, c) AS s FROM v, c) GROUP BY vec_id",
+    "max_sim_others": """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT x.vec_id, y.vec_id AS other_id, list_cosine_similarity(x.v, y.v) AS s FROM v x JOIN v y ON x.label IS DISTINCT FROM y.label),
+b AS (SELECT * FROM s WHERE s IS NOT NULL AND NOT isnan(s) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, other_id) = 1) SELECT vec_id, other_id, round(s, 6) AS score FROM v LEFT JOIN b USING (vec_id)""",
 }

@@ -134,6 +134,22 @@ def test_vectors(spark):
     assert [(i, g) for i, g, *_ in got] == [(1, "x"), (2, "y"), (3, "y")]
 
 
+def test_nearest_of_the_others(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x, g = rng.normal(size=(60, 4)), [None if i % 4 == 0 else "ab"[i % 2] for i in range(60)]
+    x[7] = 0
+    df = spark.createDataFrame([*((i, g[i], x[i].tolist()) for i in range(60)), (60, "a", None)], "id int, g string, v array<double>")
+    want = {7: (None, None), 60: (None, None)}
+    for i in set(range(60)) - {7}:
+        s, j = max((x[i] @ x[j] / np.linalg.norm(x[i]) / np.linalg.norm(x[j]), j) for j in range(60) if g[j] != g[i] and j != 7)
+        want[i] = (j, round(s, 6))
+    for block in (2048, 8):
+        monkeypatch.setattr(vectors, "BLOCK", block)
+        got = {r.id: (r.other_id, r.score) for r in vectors.nearest_apart(df, "id", "v", "g").collect()}
+        assert got.keys() == want.keys() and all(got[i] == want[i] or got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 2e-6 for i in want)
+    assert [r.other_id for r in vectors.nearest_apart(df.where("g = 'a'"), "id", "v", "g").collect()] == [None] * df.where("g = 'a'").count()
+
+
 def test_stage_gate_and_appending(spark, tmp_path):
     sig = stages.signature({"limit": 1}, {"in": "a"})
     assert stages.should_run("s", sig, {}, True) and not stages.should_run("s", sig, {"s": sig}, True) and stages.should_run("s", stages.signature({"limit": 2}, {"in": "a"}), {"s": sig}, True)
