@@ -26,6 +26,15 @@ def test_query(spark, con, name):
         assert differences(df, con, sql) == ""
 
 
+def test_edits_after_the_first_words(spark, monkeypatch):
+    from spoolwright.plans import metric_queries
+
+    words = [f"w{i}" for i in range(90)]
+    pairs = spark.createDataFrame([(1, " ".join(words), " ".join(words[:70] + ["x", "y"] + words[72:])), (2, " ".join(words), " ".join(words[:-5])), (3, "a", None)], "row_id int, ref string, hyp string")
+    monkeypatch.setattr(metric_queries, "_pairs", lambda *_: pairs)
+    assert {r.row_id: r.edits for r in metric_queries.first_words_wer(spark, SF).collect()} == {1: 2, 2: 5}
+
+
 def test_library_does_not_need_llm():
     import pathlib
 
