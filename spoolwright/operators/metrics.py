@@ -78,6 +78,24 @@ def performance_profile(items: DataFrame, key: str, model: str, value: str, taus
     return wide.select(model, F.explode(F.array(*[F.struct(F.lit(float(t)).alias("tau"), _round(F.col(f"t{i}")).alias("share")) for i, t in enumerate(taus)])).alias("p")).select(model, "p.tau", "p.share")
 
 
+def performance_curve(items: DataFrame, key: str, model: str, value: str, points: int = 120, least: float = 1.2, most: float = 6.0) -> DataFrame:
+    """model, point, tau, share of the items on which the model is within tau times the best (best above 0), at so many taus from 1 to the 95th percentile of all ratios, which is held between least and most.
+
+    Equal ratios of a model are counted first, so both the percentile and the curve come from that one small table.
+    """
+    from spoolwright.lineage import cut
+
+    means = items.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(F.col(key).alias("__k"), model).agg(F.avg(value).alias("v"))
+    ratio = means.withColumn("b", F.min("v").over(Window.partitionBy("__k"))).where("b > 0").withColumn("ratio", F.col("v") / F.col("b"))
+    counted = cut(ratio.groupBy(model, "ratio").agg(F.count(F.lit(1)).alias("n")), "ratios")
+    end = counted.agg(F.least(F.greatest(F.percentile("ratio", 0.95, F.col("n")), F.lit(float(least))), F.lit(float(most))).alias("end"))
+    tau = lambda i: F.when(i == points - 1, F.col("end")).otherwise(1.0 + i * ((F.col("end") - 1.0) / (points - 1)))
+    taus = end.select(F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), tau)).alias("point", "tau"))
+    met = counted.crossJoin(F.broadcast(taus))  # as many rows as points
+    share = F.sum(F.when(F.col("ratio") <= F.col("tau"), F.col("n")).otherwise(0)) / F.sum("n")
+    return met.groupBy(model, "point", "tau").agg(_round(share).alias("share")).select(model, "point", _round(F.col("tau")).alias("tau"), "share")
+
+
 def bootstrap_interval(items: DataFrame, group: str, value: str, draws: int = 1200, seed: int = 42) -> DataFrame:
     """group, n, mean, low, high: 95 % interval of the mean by resampling.
 

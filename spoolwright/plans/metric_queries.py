@@ -66,6 +66,11 @@ def performance_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.performance_profile(_items(spark, sf_dir), "base_uid", "model", "wer_other", [1.0, 1.1, 1.5, 2.0])
 
 
+def performance_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole profile of the target error on 120 taus; performance_profile has four of the other speaker's error."""
+    return metrics.performance_curve(_items(spark, sf_dir), "base_uid", "model", "wer_target")
+
+
 def ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.ecdf(_items(spark, sf_dir).withColumn("w", F.round("wer_target", 6)), "model", "w")
 
@@ -169,7 +174,7 @@ QUERIES = {
     for f in (
         item_scores, first_words_wer, metrics_by_condition, metrics_by_duration, stability, tail_quantiles, prediction_summary, pairwise_win_matrix, performance_profile, ecdf, bootstrap_ci, condition_ranks, zscore_separation, pareto_frontier,
         leaderboard, severity_rank, severity_worst, pivot_model_condition, fuzzy_keyword, repeat_shares, multi_dim_summary, payload_size, content_signature, speaker_totals, speed_totals, centroid_scores, max_sim_cohort,
-        max_sim_others,
+        max_sim_others, performance_curve,
     )
 }
 
@@ -211,6 +216,9 @@ ORACLES = {
     "prediction_summary": _ITEMS + "SELECT model, count(cer_target) AS n, round(sum(cer_target), 6) AS total, round(avg(cer_target), 6) AS mean, round(stddev_pop(cer_target), 6) AS deviation, " + ", ".join(f"round(quantile_cont(cer_target, {p}), 6) AS p{int(100 * p)}" for p in (0.5, 0.75, 0.9, 0.95)) + " FROM items GROUP BY model",
     "pairwise_win_matrix": _ITEMS + ", v AS (SELECT base_uid, model, avg(wer_target) AS v FROM items GROUP BY ALL) SELECT x.model AS a, y.model AS b, count(*) AS items, CAST(sum((x.v < y.v)::INT) AS BIGINT) AS wins, round(avg((x.v < y.v)::INT), 6) AS rate FROM v x JOIN v y ON x.base_uid = y.base_uid AND x.model <> y.model GROUP BY 1, 2",
     "performance_profile": _ITEMS + ", v AS (SELECT base_uid, model, avg(wer_other) AS v FROM items GROUP BY ALL), r AS (SELECT model, v / b AS r FROM (SELECT *, min(v) OVER (PARTITION BY base_uid) AS b FROM v) WHERE b > 0) SELECT model, tau, round(avg((r <= tau)::INT), 6) AS share FROM r, (SELECT unnest([1.0, 1.1, 1.5, 2.0])::DOUBLE AS tau) GROUP BY ALL",
+    "performance_curve": _ITEMS + """, v AS (SELECT base_uid, model, avg(wer_target) AS v FROM items GROUP BY ALL), r AS (SELECT model, v / b AS r FROM (SELECT *, min(v) OVER (PARTITION BY base_uid) AS b FROM v) WHERE b > 0),
+m AS (SELECT least(greatest(quantile_cont(r, 0.95), 1.2), 6.0)::DOUBLE AS m FROM r), t AS (SELECT i::INT AS point, CASE WHEN i = 119 THEN m ELSE 1.0::DOUBLE + i * ((m - 1.0::DOUBLE) / 119) END AS tau FROM m, range(120) x(i))
+SELECT model, point, round(tau, 6) AS tau, round(avg((r <= tau)::INT), 6) AS share FROM r, t GROUP BY model, point, tau""",
     "ecdf": _ITEMS + ", c AS (SELECT model, round(wer_target, 6) AS w, count(*) AS n FROM items GROUP BY ALL), u AS (SELECT *, sum(n) OVER (PARTITION BY model ORDER BY w) AS upto, sum(n) OVER (PARTITION BY model) AS al FROM c) SELECT model, w, round(upto / al, 6) AS share, round(1 - (upto - n) / al, 6) AS survival FROM u",
     "condition_ranks": _MODELS + "SELECT model, rank() OVER (ORDER BY win_rate DESC)::INT AS rank_high, rank() OVER (ORDER BY wer_target)::INT AS rank_low, round(0.6 * rank() OVER (ORDER BY win_rate DESC) + 0.4 * rank() OVER (ORDER BY wer_target), 6)::DOUBLE AS rank_blend FROM models",
     "zscore_separation": _MODELS + "SELECT model, round((win_rate - avg(win_rate) OVER ()) / (stddev_pop(win_rate) OVER () + 1e-9), 6) AS z_win_rate, round((mean_margin - avg(mean_margin) OVER ()) / (stddev_pop(mean_margin) OVER () + 1e-9), 6) AS z_mean_margin FROM models",

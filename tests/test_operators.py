@@ -120,6 +120,18 @@ def test_pareto_and_leaderboard(spark):
     assert board[0].model == "e" and [r.position for r in board] == [1, 2, 3, 4, 5]
 
 
+def test_profile_on_a_grid(spark):
+    rng = np.random.default_rng(6)
+    v = {m: rng.integers(1, 40, 50) / 10 * f for m, f in (("a", 1.0), ("b", 2.0), ("c", 3.0))}
+    df = spark.createDataFrame([(i, m, float(x)) for m in v for i, x in enumerate(v[m])] + [(99, "a", 0.0), (99, "b", 1.0)], "i int, m string, v double")
+    ratio = {m: v[m] / np.min(list(v.values()), axis=0) for m in v}
+    for points, most in ((120, 6.0), (120, 100.0), (5, 1.3)):
+        end = max(1.2, min(most, np.percentile(np.concatenate(list(ratio.values())), 95)))
+        want = [(m, i, round(t, 6), round(float((ratio[m] <= t).mean()), 6)) for m in "abc" for i, t in enumerate(np.linspace(1.0, end, points))]
+        assert np.allclose([r[1:] for r in rows(metrics.performance_curve(df, "i", "m", "v", points, most=most), "m", "point")], [w[1:] for w in want], atol=2e-6)
+    assert metrics.performance_curve(df.where("i = 99"), "i", "m", "v").count() == 0
+
+
 def test_bootstrap_covers_the_mean(spark):
     df = spark.range(4000).select(F.lit("m").alias("g"), (F.col("id") % 100 / 100.0).alias("v"))
     r = metrics.bootstrap_interval(df, "g", "v").first()
