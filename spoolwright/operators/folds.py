@@ -60,23 +60,32 @@ def words_to_segments(words: list[dict], gap: float, longest: float) -> list[dic
     return out
 
 
-def chunks_of_segments(segments: list[dict], shortest: float, gap: float, longest: float) -> list[dict]:
-    """Merges segments forward while the chunk is short, the pause small and the result not too long; the worst metrics count."""
+def compression_ratio(text: str | None) -> float | None:
+    """Bytes of a text by its bytes deflated, as recognisers report it; None for no text."""
+    import zlib
+
+    raw = (text or "").strip().encode()
+    return len(raw) / len(zlib.compress(raw)) if raw else None
+
+
+def chunks_of_segments(segments: list[dict], shortest: float, gap: float, longest: float, most_tokens: int | None = None) -> list[dict]:
+    """Merges segments forward while the chunk is short, the pause small and the result not too long, in seconds and in tokens; the worst metrics count. A segment without tokens counts as none."""
     out: list[dict] = []
     worst = {"no_speech": max, "logprob": min, "ratio": max}
     for s in segments:
         if s["start"] is None or s["end"] is None or s["end"] <= s["start"] or (s["text"] or "").strip() in ("", ".", "…"):
             continue
         last = out[-1] if out else None
-        if last and last["end"] - last["start"] < shortest and s["start"] - last["end"] <= gap and s["end"] - last["start"] <= longest:
+        if last and last["end"] - last["start"] < shortest and s["start"] - last["end"] <= gap and s["end"] - last["start"] <= longest and (most_tokens is None or last["tokens"] + (s.get("tokens") or 0) <= most_tokens):
             last["end"] = max(last["end"], s["end"])
             last["text"] += " " + s["text"].strip()
             last["n"] += 1
+            last["tokens"] += s.get("tokens") or 0
             for name, pick in worst.items():
                 both = [x for x in (last.get(name), s.get(name)) if x is not None]
                 last[name] = pick(both) if both else None
         else:
-            out.append({"start": s["start"], "end": s["end"], "text": s["text"].strip(), "n": 1, **{name: s.get(name) for name in worst}})
+            out.append({"start": s["start"], "end": s["end"], "text": s["text"].strip(), "n": 1, "tokens": s.get("tokens") or 0, **{name: s.get(name) for name in worst}})
     return out
 
 

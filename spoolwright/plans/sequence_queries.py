@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spoolwright.functions import scores
 from spoolwright.operators import folds
 from spoolwright.operators import sequences as sq
 from spoolwright.operators.order import ranked
@@ -94,10 +95,21 @@ def words_to_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of each recording merged to chunks (stateful fold, no SQL form). After a pause longer than a chunk may be nothing is merged."""
+    """Segments of each recording merged to chunks of at most 420 tokens, with their worst metrics and tier; chunks of tier 'drop' are left out (stateful fold, no SQL form). After a pause longer than a chunk may be nothing is merged.
+
+    The table has no tokens and metrics of a recogniser: every four bytes begun count as a token, the compression ratio is
+    that of the text, and the other two metrics are null.
+    """
     s = table(spark, sf_dir, "segment_refs").where("audio_path is not null and not isnan(end_sec)")
-    columns = {"start": F.col("start_sec"), "end": F.col("end_sec"), "text": F.col("text")}
-    return folds.folded(s, "audio_path", ["idx", "seg_key"], columns, lambda r: [{k: x[k] for k in ("start", "end", "text", "n")} for x in folds.chunks_of_segments(r, 6.0, 1.0, 20.0)], "start double, end double, text string, n int", lambda back: F.col("start_sec") - back(F.col("end_sec")) > 20.0)
+    none = F.lit(None).cast("double")
+    columns = {"start": F.col("start_sec"), "end": F.col("end_sec"), "text": F.col("text"), "tokens": F.ceil(F.octet_length(F.lower(F.trim("text"))) / 4), "no_speech": none, "logprob": none}
+
+    def fold(rows: list[dict]) -> list[dict]:
+        return folds.chunks_of_segments([r | {"ratio": folds.compression_ratio(r["text"])} for r in rows], 6.0, 1.0, 20.0, 420)
+
+    kinds = "start double, end double, text string, n int, tokens long, no_speech double, logprob double, ratio double"
+    chunks = folds.folded(s, "audio_path", ["idx", "seg_key"], columns, fold, kinds, lambda back: F.col("start_sec") - back(F.col("end_sec")) > 20.0)
+    return chunks.withColumn("tier", scores.quality_tier(F.col("no_speech"), F.col("logprob"), F.col("ratio"))).where("tier <> 'drop'")
 
 
 def greedy_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,14 @@ def test_folds():
     assert [b["bin"] for b in folds.greedy_packed([{"id": i, "size": z} for i, z in enumerate((5, 5, 50, 1))], 10)] == [0, 0, 1, 2]
 
 
+def test_chunks_end_at_the_token_cap():
+    s = [{"start": float(i), "end": i + 1.0, "text": "w", "tokens": 200, "ratio": r} for i, r in enumerate((1.0, 2.7, None, 1.5))]
+    got = folds.chunks_of_segments(s, 6.0, 1.0, 20.0, 420)
+    assert [(x["n"], x["tokens"], x["ratio"]) for x in got] == [(2, 400, 2.7), (2, 400, 1.5)]
+    assert [x["n"] for x in folds.chunks_of_segments(s, 6.0, 1.0, 20.0)] == [4]
+    assert folds.compression_ratio(" ") is None and folds.compression_ratio("ab " * 200) > 10 > 2 > folds.compression_ratio("one two three")
+
+
 def test_edits_against_plain_dp(spark):
     def plain(a, b):
         d = list(range(len(b) + 1))

@@ -35,6 +35,17 @@ def test_edits_after_the_first_words(spark, monkeypatch):
     assert {r.row_id: r.edits for r in metric_queries.first_words_wer(spark, SF).collect()} == {1: 2, 2: 5}
 
 
+def test_chunks_have_a_tier(spark, tmp_path):
+    from spoolwright.plans import sequence_queries
+
+    dense = " ".join(f"{i}{chr(97 + i % 26)}q" for i in range(230))
+    rows = [("a", 1, 1, 0.0, 1.0, dense), ("a", 2, 2, 1.0, 2.0, dense), ("a", 3, 3, 2.0, 3.0, "short"), ("b", 1, 4, 0.0, 1.0, "again " * 90), ("b", 2, 5, 9.0, 10.0, "plain")]
+    spark.createDataFrame(rows, "audio_path string, idx int, seg_key long, start_sec double, end_sec double, text string").write.parquet(f"{tmp_path}/segment_refs.parquet")
+    got = sequence_queries.chunk_builder(spark, str(tmp_path)).orderBy("audio_path", "start").collect()
+    assert [(r.audio_path, r.n, r.tier != "drop", r.tokens <= 420) for r in got] == [("a", 1, True, True), ("a", 2, True, True), ("b", 1, True, True)]
+    assert got[2].text == "plain" and got[2].tier == "safe"
+
+
 def test_library_does_not_need_llm():
     import pathlib
 
