@@ -43,14 +43,22 @@ def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, required: list[str], schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with header. Missing required columns raise ValueError; lines that don't fit the quoting are read without quotes, then dropped."""
+    """CSV with header. Missing required columns raise ValueError; lines that don't fit are read again without quotes, missing fields at their end as null; those with too many fields or a value that isn't of the schema's type are then dropped."""
     reader = spark.read.option("header", True)
     header = reader.csv(path).columns
     missing = [c for c in required if c not in header]
     if missing:
         raise ValueError(f"no column {', '.join(missing)} in {path}")
-    df = reader.option("mode", "DROPMALFORMED").csv(path) if schema is None else reader.schema(schema).option("enforceSchema", False).option("mode", "DROPMALFORMED").csv(path)
-    return df
+    kind = T.StructType([T.StructField(c, T.StringType()) for c in header]) if schema is None else T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    marked = T.StructType([*kind.fields, T.StructField(BAD, T.StringType())])
+    # without pruning, as else the fields of a line are not counted when only some columns are asked for
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).option("columnPruning", False).option("enforceSchema", schema is None)
+    fields = F.size(F.split(BAD, ",", -1))
+    padded = F.concat(BAD, F.repeat(F.lit(","), F.greatest(len(kind) - fields, F.lit(0))))
+    again = F.from_csv(padded, marked.toDDL(), {"quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
+    lines = reader.schema(marked).csv(path).withColumn("__again", F.when(F.col(BAD).isNotNull(), again)).where(F.col(BAD).isNull() | F.col("__again").isNotNull() & F.col("__again")[BAD].isNull())
+    lines = lines.where(F.length(F.concat_ws("", F.col(f"`{kind.names[0]}`").cast("string"))) >= 0)  # always so; Spark refuses to read the bad lines alone, as a count would
+    return lines.select(*[F.when(F.col(BAD).isNull(), F.col(f"`{c}`")).otherwise(F.col("__again")[c]).alias(c) for c in kind.names])
 
 
 def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:

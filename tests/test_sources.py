@@ -29,6 +29,18 @@ def test_csv_columns(spark, tmp_path):
     assert [(r.file, r.score) for r in got] == [("a", 1.0), ("b", None)]
 
 
+def test_csv_lines_that_do_not_fit_the_quoting(spark, tmp_path):
+    path = put(tmp_path, "q.csv", 'file,score,note\n"a,x",1,ok\n"b,2,open\nc,3,"open\nd,4\ne,5,x,y\nf,6,z\n')
+    got = readers.read_csv(spark, path, ["file"])
+    assert sorted((r.file, r.score, r.note) for r in got.collect() if r.file != "d") == [('"b', "2", "open"), ("a,x", "1", "ok"), ("c", "3", "open"), ("f", "6", "z")]
+    assert [tuple(r) for r in got.where("file = 'd'").collect()] == [("d", "4", None)]
+    assert got.count() == 5 and sorted(r.score for r in got.select("score").collect()) == ["1", "2", "3", "4", "6"]
+    typed = readers.read_csv(spark, path, ["file"], "file string, score int, note string").collect()
+    assert sorted(r.score for r in typed) == [1, 2, 3, 4, 6]
+    wrong = put(tmp_path, "w.csv", "file,score\na,1\nb,x\n")
+    assert [r.file for r in readers.read_csv(spark, wrong, ["file"], "file string, score int").collect()] == ["a"]
+
+
 def test_model_registry(spark, tmp_path):
     good = put(tmp_path, "m.csv", "model_name,backend,model_ref,language_mode,enabled\na,b,c,en,Yes\n")
     assert readers.read_models(spark, good).first().enabled is True
