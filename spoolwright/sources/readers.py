@@ -151,3 +151,67 @@ def fresh_probes(files: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFra
     key = ["path", "bytes", "modified"]
     known = cache.select(*key, "duration").dropDuplicates(key)
     return files.join(known, key), files.join(known.select(*key), key, "left_anti")
+
+
+def processed_files(spark: SparkSession, path: str) -> DataFrame:
+    """file: the different entries of an output CSV, for a run that resumes. Column file where the first line names it, else the first column; a missing CSV gives none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    none = spark.createDataFrame([], "file string")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return none
+    headed = "file" in (spark.read.text(path).first() or [""])[0].lower()
+    rows = spark.read.option("header", headed).option("multiLine", True).option("escape", '"').csv(path)
+    if headed and "file" not in rows.columns or not rows.columns:
+        return none
+    file = F.trim(F.col("file" if headed else rows.columns[0]))
+    found = rows.select(file.alias("file")).where("file <> ''")
+    return (found if headed else found.where(F.lower("file") != "file")).distinct()
+
+
+def read_predictions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(file, key, item) and (file, run_args) of JSON documents of predictions: a list, or an object with items or samples.
+
+    Items are keyed by mix_key or else key, the last of a key counts, and those without either are left out. Records of
+    the run (__meta__, run_args) are lifted out, the last of a document counts. A document that is no JSON gives nothing.
+    """
+
+    def parsed(text: str) -> tuple[dict, dict | None]:
+        import json
+
+        try:
+            data = json.loads(text)
+        except ValueError:
+            return {}, None
+        meta, items = None, {}
+        if isinstance(data, dict):
+            meta = data.get("run_args") or data.get("__meta__")
+            data = data.get("items") or data.get("samples") or []
+        for x in data if isinstance(data, list) else []:
+            if not isinstance(x, dict):
+                continue
+            if isinstance(x.get("__meta__"), dict):
+                inner = x["__meta__"].get("run_args")
+                meta = inner if isinstance(inner, dict) else x["__meta__"]
+            elif "run_args" in x and "mix_key" not in x:
+                meta = x["run_args"] if isinstance(x["run_args"], dict) else meta
+            elif x.get("mix_key") or x.get("key"):
+                items[str(x.get("mix_key") or x.get("key"))] = x
+        return {k: json.dumps(v, ensure_ascii=False) for k, v in items.items()}, None if meta is None else json.dumps(meta, ensure_ascii=False)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for file, text in zip(f["file"], f["value"], strict=True):
+                items, meta = parsed(text)
+                out += [(file, k, v) for k, v in items.items()] + ([(file, None, meta)] if meta is not None else [])
+            yield pd.DataFrame(out, columns=["file", "key", "item"], dtype=object)
+
+    both = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value").mapInPandas(run, "file string, key string, item string")
+    return both.where("key is not null"), both.where("key is null").select("file", F.col("item").alias("run_args"))
+
+
+def taken(df: DataFrame, spec: str, key: str, text: str, audio: str, n: int, seed: str = "17") -> DataFrame:
+    """n rows of each spec in hash order, then without those that lack text or audio; they count among the n."""
+    from spoolwright.operators.selection import cap_per_group
+
+    return cap_per_group(df, spec, key, n, seed).where((F.trim(F.coalesce(F.col(text), F.lit(""))) != "") & F.col(audio).isNotNull())

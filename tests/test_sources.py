@@ -41,6 +41,34 @@ def test_csv_lines_that_do_not_fit_the_quoting(spark, tmp_path):
     assert [r.file for r in readers.read_csv(spark, wrong, ["file"], "file string, score int").collect()] == ["a"]
 
 
+def test_processed_files(spark, tmp_path):
+    files = lambda p: sorted(r.file for r in readers.processed_files(spark, p).collect())
+    assert files(put(tmp_path, "h.csv", 'score,file\n1, a \n2,"b,""x"""\n3,a\n4,\n')) == ["a", 'b,"x"']
+    assert files(put(tmp_path, "n.csv", "a,1\nFile,2\nb,3\n")) == ["a", "b"]
+    assert files(put(tmp_path, "o.csv", "filename,1\na,2\n")) == [] == files(f"file://{tmp_path}/none.csv") == files(put(tmp_path, "e.csv", ""))
+
+
+def test_predictions_of_any_shape(spark, tmp_path):
+    for name, doc in {
+        "a.json": [{"__meta__": {"run_args": {"n": 1}}}, {"mix_key": "x", "v": 1}, {"key": "y"}, {"mix_key": "x", "v": 2}, {"v": 3}, 7],
+        "b.json": {"run_args": {"n": 2}, "items": [{"key": "z", "run_args": {"n": 3}}, {"mix_key": "m", "run_args": {}}]},
+        "c.json": {"samples": [{"key": "s"}]},
+        "e.json": {},
+    }.items():
+        put(tmp_path, name, json.dumps(doc))
+    put(tmp_path, "d.json", "[{")
+    items, runs = readers.read_predictions(spark, f"file://{tmp_path}")
+    assert sorted((r.file, r.key, json.loads(r.item).get("v")) for r in items.collect()) == [("a.json", "x", 2), ("a.json", "y", None), ("b.json", "m", None), ("c.json", "s", None)]
+    assert sorted((r.file, json.loads(r.run_args)) for r in runs.collect()) == [("a.json", {"n": 1}), ("b.json", {"n": 3})]
+
+
+def test_rows_of_each_spec(spark):
+    df = spark.range(100).select("id", (F.col("id") % 2).alias("spec"), F.when(F.col("id") < 50, "w").otherwise(" ").alias("text"), F.when(F.col("id") != 3, F.lit("f")).alias("audio"))
+    assert readers.taken(df, "spec", "id", "text", "audio", 50).count() == 49
+    few = readers.taken(df, "spec", "id", "text", "audio", 10)
+    assert 0 < few.count() < 20 and few.where("trim(text) = '' or audio is null").count() == 0 and few.groupBy("spec").count().where("count > 10").count() == 0
+
+
 def test_model_registry(spark, tmp_path):
     good = put(tmp_path, "m.csv", "model_name,backend,model_ref,language_mode,enabled\na,b,c,en,Yes\n")
     assert readers.read_models(spark, good).first().enabled is True
