@@ -223,6 +223,7 @@ def _clustered_in_rounds(rows: DataFrame, group: str, key: str, vector: str, thr
     """
     from spoolwright.lineage import cut
     from spoolwright.operators.order import ranked
+    from spoolwright.operators.vectors import norm
 
     named = rows.select(F.col(group).alias("__group"), F.col(key).alias("__key"), F.col(vector).alias("v"))
     laid = cut(ranked(named, "__group", "__key", name="id"), "cluster-rows")
@@ -232,11 +233,16 @@ def _clustered_in_rounds(rows: DataFrame, group: str, key: str, vector: str, thr
     def start(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if len(f):
-                yield pd.DataFrame({"g": f["g"], "id": f["id"], "n": 1.0, "s": list(_unit(np.stack(f["v"].map(lambda v: np.asarray(v, float)))))})
+                yield pd.DataFrame({"g": f["g"], "id": f["id"], "n": f["m"].astype(float), "s": list(_unit(np.stack(f["v"].map(lambda v: np.asarray(v, float)))) * f["m"].to_numpy(float)[:, None])})
 
     kinds = "g long, id long, n double, s array<double>"
-    live = cut(placed.select("g", "id", "v").mapInPandas(start, kinds), "clusters")
-    members = cut(placed.select("g", "__group", "__key", "id"), "cluster-members")
+    # equal vectors are one cluster from the start: they are at distance 0, and as ties they would cost a round each
+    length = norm(F.col("v"))
+    alone = F.when((length > 0) & ~F.isnan(length) & F.lit(threshold >= 0), F.lit(-1).cast("long")).otherwise(F.col("id"))
+    placed = placed.withColumn("alone", alone)
+    equal = cut(placed.groupBy("g", "v", "alone").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("m")), "cluster-equal")
+    live = cut(equal.select("g", F.col("first").alias("id"), "m", "v").mapInPandas(start, kinds), "clusters")
+    members = cut(placed.join(equal, ["g", "v", "alone"]).select("g", "__group", "__key", F.col("first").alias("id")), "cluster-members")
     while True:
         counts = live.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
         if counts.where(F.col("m") > MAX_CLUSTERED).isEmpty():

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from spoolwright import lineage
 from spoolwright.functions import audio, runs
 from spoolwright.operators import alignment
 
@@ -71,6 +72,19 @@ def test_large_groups_have_the_same_clusters(spark, monkeypatch):
             assert {tuple(r) for r in alignment.clustered(df, "g", "k", "v", threshold).collect()} == want
 
 
+def test_equal_vectors_of_a_large_group(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    m = np.concatenate([np.repeat(rng.normal(size=(3, 6)), 60, axis=0), rng.normal(size=(15, 6)), np.zeros((2, 6))])
+    m = m[rng.permutation(len(m))]
+    df = spark.createDataFrame([("a", i, x.tolist()) for i, x in enumerate(m)], "g string, k int, v array<double>")
+    want = {("a", i, int(c)) for i, c in enumerate(alignment.average_linkage(m, 0.4))}
+    monkeypatch.setattr(alignment, "MAX_CLUSTERED", 30)
+    written = []
+    monkeypatch.setattr("spoolwright.lineage.cut", lambda d, label, cut=lineage.cut: written.append(label) or cut(d, label))
+    assert {tuple(r) for r in alignment.clustered(df, "g", "k", "v", 0.4).collect()} == want
+    assert written.count("cluster-pairs") == 0
+
+
 def test_closest_pairs_first():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(80, 5))
