@@ -21,7 +21,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlap.overlap_report(table(spark, sf_dir, "manifest_rows"), _overlaps(spark, sf_dir))
+    """Pairs, rows and shared parts of each evaluation split and source."""
+    return overlap.overlap_report(table(spark, sf_dir, "manifest_rows"), table(spark, sf_dir, "path_roots"))
 
 
 _TEXTS = (("segment_refs", "seg_key"), ("manifest_rows", "row_id"))

@@ -1,7 +1,9 @@
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spoolwright.llm import overlap
@@ -42,8 +44,35 @@ def test_word_edits_match_a_plain_table():
     lists = [rng.integers(0, 5, rng.integers(0, 30)).astype(np.uint64) for _ in range(200)]
     a, b = lists[:100], lists[100:]
     flat = lambda x: (np.concatenate(x), np.r_[0, np.cumsum([len(v) for v in x])])
-    got = overlap.word_edits(*flat(a), *flat(b), cells=64)
-    assert got.tolist() == [distance(x.tolist(), y.tolist()) for x, y in zip(a, b)]
+    want = np.array([distance(x.tolist(), y.tolist()) for x, y in zip(a, b)])
+    for most in (np.full(100, 60), rng.integers(0, 12, 100)):
+        got = overlap.word_edits(*flat(a), *flat(b), most, cells=64)
+        assert np.array_equal(got <= most, want <= most) and np.array_equal(got[want <= most], want[want <= most])
+
+
+def chunks_of(texts, mask):
+    c = overlap.chunked(overlap.records(pa.array(texts)), mask)
+    return c, [Counter(zip(c.digest[a:b].tolist(), c.length[a:b].tolist())) for a, b in zip(c.begins, c.begins[1:])]
+
+
+@pytest.mark.parametrize("mask", [0, 1, 3])
+def test_edits_lose_no_more_chunks_than_said(mask):
+    """Words of one and two bytes too, at which the window reaches into the words before."""
+    rng = random.Random(mask)
+    words = [*"abcde", "ab", "cd", "é", "日", "abc", "defg", "hijkl"]
+    for _ in range(3000):
+        t = [rng.choice(words) for _ in range(rng.randint(1, 40))]
+        other = list(t)
+        for _ in range(rng.randint(0, 7)):
+            at = rng.randrange(len(other) + 1)
+            other[at : at + rng.randint(0, 1)] = rng.choice([[], [rng.choice(words)]])
+        if not other or 20 * distance(t, other) > 3 * max(len(t), len(other)):
+            continue
+        c, (own, new) = chunks_of([" ".join(t), " ".join(other)], mask)
+        shared = own & new
+        assert (own - new).total() <= c.lost[0] and (new - own).total() <= c.lost[1]
+        words_shared = sum(n * length for (_, length), n in shared.items())
+        assert words_shared >= max(c.least) and words_shared == overlap.shared_words(*(chunks_of([" ".join(x)], mask)[0] for x in (t, other)))[0]
 
 
 @pytest.mark.parametrize("longest", [30, 90])
@@ -73,7 +102,8 @@ def test_text_cases(spark):
     ]
     got = found(spark, rows)
     assert set(got) == {(2, 1), (5, 1), (8, 1)}
-    assert got[(2, 1)].edits == 0 and got[(8, 1)].edits == 1 and abs(got[(8, 1)].eval_overlap - 8 / 9) < 1e-9
+    assert got[(2, 1)].edits == 0 and got[(2, 1)].eval_overlap == 1.0
+    assert got[(8, 1)].edits == 1 and abs(got[(8, 1)].eval_overlap - 7 / 9) < 1e-9  # the changed word lies in a chunk of two
 
 
 def test_path_cases(spark):
@@ -96,15 +126,22 @@ def test_empty(spark):
     assert found(spark, []) == {}
 
 
-def test_coarser_chunks_tile_the_records():
-    h = np.arange(1, 40, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    starts = np.array([0, 5, 5, 39])
-    digests, lengths, begins = overlap.chunked(h, starts, 3)
-    assert lengths.sum() == 39 and begins.tolist()[0] == 0 and begins[1] == begins[2] and begins[3] == len(digests)
-    assert lengths[: begins[1]].sum() == 5
+def test_chunks_tile_the_records_and_are_cut_by_content():
+    text = " ".join(f"word{i}" for i in range(200))
+    c, (whole, tail, nothing) = chunks_of([text, "x " + text, ""], 7)
+    assert c.length.sum() == 401 and c.begins[2] == c.begins[3] == len(c.digest)
+    assert (whole & tail).total() >= whole.total() - 1
 
 
 def test_report(spark):
-    rows = table(spark, [(1, "train", "lab/a", None, None, None), (2, "train", "lab/a", None, None, None), (3, "test", "lab/a", None, None, None)])
-    pairs = overlap.overlapping_rows(rows, roots(spark))
-    assert [tuple(r) for r in overlap.overlap_report(rows, pairs).collect()] == [("test", "x", 2, 1)]
+    text = "one two three four five six seven eight nine ten"
+    near_text = text.replace("ten", "eleven")
+    rows = [
+        (1, "train", "lab/a", None, None, text), (2, "train", "lab/a", None, None, near_text), (3, "test", "lab/a", None, None, text), (4, "train", "lab/b", None, None, text),
+        (5, "test", "lab/c", None, None, None), (6, "validation", "lab/a", None, None, "other"), (7, "validation", None, None, None, near_text), (8, "validation", None, None, None, near_text), (9, "test", "lab/d", None, None, "no pair here"),
+    ]
+    pairs = found(spark, rows)
+    got = {r.split_name: (r.pairs, r.rows) for r in overlap.overlap_report(table(spark, rows), roots(spark)).collect()}
+    split = {r[0]: r[1] for r in rows}
+    assert got == {s: (sum(split[e] == s for e, _ in pairs), len({e for e, _ in pairs if split[e] == s})) for s in ("test", "validation")}
+    assert overlap.overlap_report(table(spark, []), roots(spark)).collect() == []
