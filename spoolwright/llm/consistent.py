@@ -43,6 +43,8 @@ LATIN_LOOKS = {
     "Armenian": dict(zip("ՍՕՏԼսօոհզցյքւ", "UOSLuonhqgjpi", strict=True)),
     "Cherokee": dict(zip("ᎪᎳᎬᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ", "AWEHJKLMPRSTVWZ", strict=True)),
 }
+# Small letters that only resemble the Latin one (its small capital or italic form). They stand for it in a Latin word, but a Latin letter doesn't stand for them.
+RESEMBLING = "вкмнтгпεκτϲ"
 # Latin letters that are not the ordinary ones, and those they look like.
 LATIN_VARIANTS = dict(zip("ɑɡſȷɩʏɪʟɴʀꞬꞮ", "agsjiyilnrgi", strict=True))
 
@@ -93,7 +95,7 @@ def look_maps() -> dict[str, dict[str, str]]:
     latin: dict[str, str] = {}
     for pairs in LATIN_LOOKS.values():
         latin |= _accented(pairs)
-    back = {k: {look: ch for ch, look in reversed(LATIN_LOOKS[k].items())} for k in ("Cyrillic", "Greek")}
+    back = {k: {look: ch for ch, look in reversed(LATIN_LOOKS[k].items()) if ch not in RESEMBLING} for k in ("Cyrillic", "Greek")}
     cyrillic = back["Cyrillic"] | {ch: back["Cyrillic"][look] for ch, look in LATIN_LOOKS["Greek"].items() if look in back["Cyrillic"]}
     greek = back["Greek"] | {ch: back["Greek"][look] for ch, look in LATIN_LOOKS["Cyrillic"].items() if look in back["Greek"]}
     accented = {}
@@ -127,17 +129,22 @@ def _class(chars: str | dict) -> str:
 _LATIN = "A-Za-z\\x{C0}-\\x{24F}\\x{1E00}-\\x{1EFF}\\pM"
 
 
-def _word(w: str) -> str:
-    """A word of letters of several alphabets turns to the one in which all of them can stand: Latin if at least half are Latin, else Cyrillic, Greek, Latin. An ordinary Latin word loses its odd variants."""
+def _word(w: str, text: str) -> str:
+    """A word of letters of several alphabets turns to the one in which all of them can stand. Where both Latin and another can be, it is Latin if at least half of the whole text's letters are. An ordinary Latin word loses its odd variants."""
     looks = look_maps()
+    to_latin = looks["Latin"] | LATIN_VARIANTS
     has = lambda s: f"regexp_matches({w}, '\\p{{{s}}}')"
     fits = lambda own, pairs: f"regexp_full_match({w}, {_text(f'[{own}' + _class(pairs)[1:] + '+')})"
-    to_latin = looks["Latin"] | LATIN_VARIANTS
+    other = {s: f"({has(s)} AND {fits(f'\\p{{{s}}}\\pM', looks[s])})" for s in ("Cyrillic", "Greek")}
     latin = f"{has('Latin')} AND {fits(_LATIN, to_latin)}"
-    branches = [f"WHEN {latin} AND 2 * length(regexp_replace({w}, '[^\\p{{Latin}}]', '', 'g')) >= length({w}) THEN {_translate(w, to_latin)}"]
-    for script in ("Cyrillic", "Greek"):
-        branches.append(f"WHEN {has(script)} AND {fits(f'\\p{{{script}}}\\pM', looks[script])} THEN {_translate(w, looks[script])}")
-    branches.append(f"WHEN {latin} THEN {_translate(w, to_latin)}")
+    mostly = f"2 * length(regexp_replace({text}, '[^\\p{{Latin}}]', '', 'g')) >= length(regexp_replace({text}, '[^\\pL]', '', 'g'))"
+    foreign = "[" + "".join(f"\\p{{{s}}}" for s in LATIN_LOOKS) + "]"
+    branches = [
+        f"WHEN NOT regexp_matches({w}, {_text(foreign)}) THEN CASE WHEN {latin} THEN {_translate(w, LATIN_VARIANTS)} ELSE {w} END",
+        f"WHEN NOT {has('Latin')} AND NOT (regexp_matches({w}, '\\p{{Cyrillic}}') AND regexp_matches({w}, '\\p{{Greek}}')) THEN {w}",
+        f"WHEN {latin} AND (NOT ({' OR '.join(other.values())}) OR {mostly}) THEN {_translate(w, to_latin)}",
+        *[f"WHEN {other[s]} THEN {_translate(w, looks[s])}" for s in other],
+    ]
     return "CASE " + " ".join(branches) + f" ELSE {w} END"
 
 
@@ -165,7 +172,7 @@ def steps() -> tuple[str, ...]:
         when(_class(rare), _translate("x", rare)),
         when(_class(several), f"array_to_string(list_transform(string_split(x, ''), lambda c: coalesce({table}[c], c)), '')"),
         "nfc_normalize(x)",
-        when(_class({**look_maps()["Latin"], **LATIN_VARIANTS}), f"array_to_string(list_transform(regexp_extract_all(x, '[\\pL\\pM]+|[^\\pL\\pM]+'), lambda w: {_word('w')}), '')"),
+        when(_class({**look_maps()["Latin"], **LATIN_VARIANTS}), f"array_to_string(list_transform(regexp_extract_all(x, '[\\pL\\pM]+|[^\\pL\\pM]+'), lambda w: {_word('w', 'x')}), '')"),
     )
 
 

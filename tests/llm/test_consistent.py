@@ -7,6 +7,8 @@ from spoolwright.llm import consistent
 CHANGED = {
     "ｆｏｕｒ ２": "four 2", "oﬃce": "office", "ﾊﾝ": "ハン", "cafe\u0301": "café", "5 \u212a": "5 K", "a\u200bb\u00ad\ufeff": "ab", "a\u00a0b\u3000c\u2009d": "a b c d", "pаper": "paper", "Аlоne": "Alone",
     "rіɡht": "right", "ɑt": "at", "мeдлeннo": "медленно", "κaλός": "καλός", "beetӏes": "beetles", "nսmbered": "numbered", "𝐛𝐨𝐥𝐝": "bold", "️ok": "ok", "ﻼ": "لا", "ëxё": "ëxë",
+    # a word that can be of two alphabets is of that of the text
+    "beside the аttіс in row 2": "beside the attic in row 2", "mеrсі": "merci", "that Кіkаn lifted": "that Kikan lifted", "hat Каmеl gelbe": "hat Kamel gelbe", "Утром \u0422o\u0440\u0441op обменял": "Утром Торсор обменял", "στο κoντα μετα": "στο κοντα μετα",
 }
 KEPT = ["", "plain", "a\nb\tc  d", "“quoted” – it’s… 10³ m² ½ 21 °C ACME™ № 5", "λόγος мир", "naïve façade Straße", "один two три", "ʃəɡ", "ı̇", "नमस्ते", "e=mc²", "Ωmega"]
 
