@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Special tokens, typographic signs and what stands for them, the trivial segment texts.
 SILENCE_TOKENS = ("<|nospeech|>", "<|nocaptions|>")
@@ -148,48 +144,41 @@ def prompt(prefix: str, text: Column, most: int) -> Column:
     return F.trim(F.concat_ws(" ", F.lit(prefix), F.substring(text, 1, most)))
 
 
-def _number_words(text: str | None) -> str | None:
-    """Runs of number words as digits: digits one by one are put side by side, others are added up."""
-    if text is None:
-        return None
-    out: list[str] = []
-    run: list[str] = []
-
-    def close() -> None:
-        if not run:
-            return
-        words = [w for w in run if w != "and"]
-        tail = ["and"] if run[-1] == "and" else []
-        if words and all(UNITS.get(w, 99) < 10 for w in words):
-            out.append("".join(str(UNITS[w]) for w in words))
-        elif words:
-            total = part = 0
-            for w in words:
-                if w in UNITS:
-                    part += UNITS[w]
-                elif w in TENS:
-                    part += TENS[w]
-                elif w == "hundred":
-                    part = max(part, 1) * 100
-                else:
-                    total, part = total + max(part, 1) * SCALES[w], 0
-            out.append(str(total + part))
-        out.extend(tail)
-        run.clear()
-
-    for token in text.split():
-        word = token.lower()
-        if word in UNITS or word in TENS or word in SCALES and run or word == "hundred" and run or word == "and" and run:
-            run.append(word)
-        else:
-            close()
-            out.append(token)
-    close()
-    return " ".join(out)
-
-
-@F.pandas_udf(T.StringType())
-def number_words(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Number words as digits (Arrow batches: the parse keeps state from word to word)."""
-    for s in texts:
-        yield s.map(_number_words)
+_WIDE = r"\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
+def _number_pattern() -> str:
+    """A run of number words between word boundaries, with blanks, commas and hyphens between them; 'and' may follow but not begin."""
+    first = sorted([*UNITS, *TENS, "hundred", *SCALES], key=len, reverse=True)
+    edge = lambda ahead: rf"(?{'' if ahead else '<'}![\p{{L}}\p{{M}}\p{{N}}_])"
+    word = lambda words: f"{edge(False)}(?:{'|'.join(words)}){edge(True)}"
+    return rf"(?iu){word(first)}(?:[{_WIDE},\-]+{word([*first, 'and'])})*"
+
+
+def _number_value(run: Column) -> Column:
+    """Digits one by one are put side by side; anything else is added up, scales multiply what is before them."""
+    words = F.regexp_extract_all(F.lower(run), F.lit(r"(\p{L}+)"), 1)
+    table = lambda pairs: F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    digits, plain, scales = table({w: n for w, n in UNITS.items() if n < 10}), table(UNITS | TENS), table(SCALES)
+    long = lambda x: F.lit(x).cast("long")
+
+    def step(acc: Column, w: Column) -> Column:
+        total, part = acc["total"], acc["part"]
+        return (
+            F.when(w == "and", acc)
+            .when(w == "hundred", F.struct(total.alias("total"), (F.greatest(part, long(1)) * 100).alias("part")))
+            .when(F.map_contains_key(scales, w), F.struct((total + F.greatest(part, long(1)) * scales[w]).alias("total"), long(0).alias("part")))
+            .otherwise(F.struct(total.alias("total"), (part + F.coalesce(plain[w], F.lit(0))).cast("long").alias("part")))
+        )
+
+    added = F.aggregate(words, F.struct(long(0).alias("total"), long(0).alias("part")), step, lambda acc: (acc["total"] + acc["part"]).cast("string"))
+    return F.when(F.forall(words, lambda w: F.map_contains_key(digits, w)), F.array_join(F.transform(words, lambda w: digits[w].cast("string")), "")).otherwise(added)
+
+
+def number_words(text: Column) -> Column:
+    """Runs of number words as digits; all else, white space included, stays. A run that ends in 'and' takes it along. Sums stay exact up to 2^63."""
+    pattern = _number_pattern()
+    runs = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+    between = F.split(text, pattern, -1)
+    pieces = F.zip_with(between, F.transform(runs, _number_value), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)

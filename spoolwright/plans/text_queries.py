@@ -107,8 +107,8 @@ def duration_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def number_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number words as digits, over whole texts (Arrow; no SQL form)."""
-    return table(spark, sf_dir, "segment_refs").where("text is not null").select("seg_key", text.number_words("text").alias("digits"))
+    """Number words as digits, over whole texts."""
+    return table(spark, sf_dir, "segment_refs").where("text is not null").select("seg_key", text.number_words(F.col("text")).alias("digits"))
 
 
 def text_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +172,21 @@ SELECT audio_path, length(subtitles) AS chars, md5(subtitles) AS digest FROM o""
 _VTT = "printf('%02d:%02d:%02d.%03d', {x} // 3600000, {x} // 60000 % 60, {x} // 1000 % 60, {x} % 1000)"
 _ASS = "printf('%d:%02d:%02d.%02d', {x} // 360000, {x} // 6000 % 60, {x} // 100 % 60, {x} % 100)"
 
+_NUMBERS = "[" + ", ".join(f"'{w}'" for w in [*text.UNITS, *text.TENS]) + "]"
+_VALUES = "[" + ", ".join(str(n) for n in [*text.UNITS.values(), *text.TENS.values()]) + "]"
+_STARTS = "|".join(sorted([*text.UNITS, *text.TENS, "hundred", *text.SCALES], key=len, reverse=True))
+_RUN = rf"(?i)\b(?:{_STARTS})\b(?:[\s\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{205F}}\x{{3000}},-]+\b(?:{_STARTS}|and)\b)*"
+_SUM = f"""list_reduce(list_transform(w, lambda x: {{'t': 0::BIGINT, 'p': 0::BIGINT, 'w': x}}), lambda a, x: CASE WHEN x.w = 'and' THEN a WHEN x.w = 'hundred' THEN {{'t': a.t, 'p': greatest(a.p, 1) * 100, 'w': ''}}
+    WHEN x.w IN ('thousand', 'million', 'billion') THEN {{'t': a.t + greatest(a.p, 1) * CASE x.w WHEN 'thousand' THEN 1000 WHEN 'million' THEN 1000000 ELSE 1000000000 END, 'p': 0::BIGINT, 'w': ''}}
+    ELSE {{'t': a.t, 'p': a.p + ({_VALUES})[list_position({_NUMBERS}, x.w)], 'w': ''}} END, {{'t': 0::BIGINT, 'p': 0::BIGINT, 'w': ''}})"""
+_DIGITS = f"""WITH r AS (SELECT seg_key, text, string_split_regex(text, '{_RUN}') AS b, regexp_extract_all(text, '{_RUN}') AS m FROM segment_refs WHERE text IS NOT NULL),
+k AS (SELECT seg_key, i, regexp_extract_all(lower(m[i]), '[a-z]+') AS w FROM r, unnest(range(1, len(m) + 1)) t(i)),
+v AS (SELECT seg_key, list(CASE WHEN list_bool_and(list_transform(w, lambda x: coalesce(list_position({_NUMBERS}, x) BETWEEN 1 AND 10, false) OR x = 'oh')) THEN array_to_string(list_transform(w, lambda x: ({_VALUES})[list_position({_NUMBERS}, x)]), '')
+    ELSE (({_SUM}).t + ({_SUM}).p)::VARCHAR END ORDER BY i) AS v FROM k GROUP BY seg_key)
+SELECT seg_key, CASE WHEN v IS NULL THEN text ELSE array_to_string(list_transform(range(1, len(b) + 1), lambda i: b[i] || coalesce(v[i], '')), '') END AS digits FROM r LEFT JOIN v USING (seg_key)"""
+
 ORACLES = {
+    "number_words": _DIGITS,
     "english_filter": f"SELECT doc_id, round({_SHARE}, 6) AS share, round({_FOREIGN}, 6) AS foreign_share, coalesce({_SHARE} >= 0.7 AND {_FOREIGN} <= 0.3 AND NOT {_SCRIPT}, false) AS kept FROM documents",
     "english_reason": f"""SELECT lang, CASE WHEN coalesce(length(trim(text)), 0) = 0 THEN 'no_text' WHEN {_SCRIPT} THEN 'script' WHEN {_FOREIGN} > 0.3 THEN 'foreign' WHEN {_SHARE} < 0.7 THEN 'low_share' ELSE 'kept' END AS reason, count(*) AS n
 FROM documents GROUP BY ALL""",
