@@ -13,38 +13,59 @@ from pyspark.sql import types as T
 from spoolwright.functions.text import asr_key
 
 
-def _distance(a: np.ndarray, b: np.ndarray) -> int:
-    """Edit distance of two arrays of word numbers, a row of the table at a time."""
-    if len(a) < len(b):
-        a, b = b, a
-    if not len(b):
-        return len(a)
-    step = np.arange(len(b) + 1)
-    prev = step.copy()
-    for i, x in enumerate(a, 1):
-        cur = np.empty_like(prev)
-        cur[0] = i
-        np.minimum(prev[1:] + 1, prev[:-1] + (b != x), out=cur[1:])
-        prev = np.minimum.accumulate(cur - step) + step
-    return int(prev[-1])
+def list_edits(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, most: np.ndarray, cells: int = 1 << 20) -> np.ndarray:
+    """Edit distance of the i-th lists of numbers on both sides, for all i, as far as it is at most most[i]; more than that is given as some larger number. The numbers are above 0.
+
+    a_starts, b_starts: where each list begins in the array, and the end. Only the cells within `most` of the diagonal are
+    filled. Lists of similar width are computed together.
+    """
+    la, lb = np.diff(a_starts), np.diff(b_starts)
+    out = most + 1
+    order = np.flatnonzero(np.abs(la - lb) <= most)
+    order = order[np.lexsort((la[order], lb[order], most[order]))]
+    at = 0
+    while at < len(order):
+        rows = order[at : at + max(1, cells // int(max(lb[order[at]], 1) + 2 * most[order[at]] + 1))]
+        rows = rows[most[rows] <= 2 * most[rows[0]] + 1]
+        at += len(rows)
+        k, width, height = int(most[rows].max()), int(lb[rows].max()), int(la[rows].max())
+        # column c of the padded right side is item c - k, so that the band of row i is a slice
+        right = np.zeros((len(rows), max(width, height) + 2 * k + 1), b.dtype)
+        inside = np.arange(width) < lb[rows][:, None]
+        right[:, k : k + width][inside] = b[(b_starts[rows][:, None] + np.arange(width))[inside]]
+        band = np.arange(2 * k + 1, dtype=np.int64)
+        far = np.int64(1 << 40)
+        prev = np.broadcast_to(np.where(band >= k, band - k, far), (len(rows), 2 * k + 1)).copy()
+        done = np.flatnonzero(la[rows] == 0)
+        out[rows[done]] = lb[rows][done]
+        for i in range(1, height + 1):
+            left = a[np.minimum(a_starts[rows] + i - 1, max(len(a) - 1, 0))]
+            column = band + i - k  # items of the right side used so far
+            cur = prev + (right[:, i - 1 : i + 2 * k] != left[:, None])
+            cur[:, :-1] = np.minimum(cur[:, :-1], prev[:, 1:] + 1)
+            cur = np.where(column == 0, i, np.where(column < 0, far, cur))
+            prev = np.minimum.accumulate(cur - band, axis=1) + band
+            ends = np.flatnonzero(la[rows] == i)
+            out[rows[ends]] = prev[ends, (lb - la)[rows][ends] + k]
+    return out
 
 
 @F.pandas_udf(T.IntegerType())
 def word_edits(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Word edits between two normalised texts (Arrow batches; Spark's levenshtein knows characters only). Null for a null."""
+    """Word edits between two normalised texts, a batch at a time (Spark's levenshtein knows characters only). Null for a null."""
     for refs, hyps in pairs:
-        out = []
-        for r, h in zip(refs, hyps, strict=True):
-            if r is None or h is None:
-                out.append(None)
-                continue
-            if r == h:
-                out.append(0)
-                continue
-            a, b = r.split(), h.split()
-            number = {w: i for i, w in enumerate(dict.fromkeys(a + b))}
-            out.append(_distance(np.array([number[w] for w in a], int), np.array([number[w] for w in b], int)))
-        yield pd.Series(out, dtype="Int32")
+        out = pd.Series(pd.NA, index=refs.index, dtype="Int32")
+        both = refs.notna() & hyps.notna()
+        out[both] = 0
+        differ = both & (refs != hyps)
+        if differ.any():
+            sides = [[x.split() for x in side[differ]] for side in (refs, hyps)]
+            starts = [np.r_[0, np.cumsum([len(x) for x in side])] for side in sides]
+            number = pd.factorize(pd.Series([w for side in sides for x in side for w in x], dtype=object))[0] + 1
+            a, b = number[: starts[0][-1]], number[starts[0][-1] :]
+            # no list is further from another than its own or the other's length
+            out[differ] = list_edits(a, starts[0], b, starts[1], np.maximum(np.diff(starts[0]), np.diff(starts[1])))
+        yield out
 
 
 def word_count(text: Column) -> Column:
@@ -70,14 +91,6 @@ def error_rates(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp", spaces: bo
     return rows.drop("__r", "__h", "__hw", "__rc", "__hc")
 
 
-def first_words_edits(ref: Column, hyp: Column, most: int = 60) -> Column:
-    """Word edits of the first words only, without Python: each word becomes one ASCII character. Not the WER of long texts, hence the name."""
-    r, h = (F.slice(F.split(x, " "), 1, most) for x in (ref, hyp))
-    words = F.array_distinct(F.concat(r, h))
-    code = lambda a: F.array_join(F.transform(a, lambda w: F.char(F.array_position(words, w).cast("int"))), "")
-    return F.levenshtein(code(r), code(h))
-
-
 def near_keywords(tokens: DataFrame, token: str, keywords: DataFrame, keyword: str, edits: int) -> DataFrame:
     """The rows joined with the keywords within the edits. Keywords are a short list of the caller's, refused above 10 000."""
     if keywords.limit(10_001).count() > 10_000:

@@ -10,34 +10,45 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spoolwright.operators.order import Laid
 
-def folded(df: DataFrame, key: str, order: list[str], columns: dict[str, Column], fold: Callable[[list[dict]], list[dict]], result: str, breaks: Callable[[Callable[[Column], Column]], Column] | None = None) -> DataFrame:
+
+def folded(df: DataFrame, key: str, order: list[str], columns: dict[str, Column], fold: Callable[[list[dict]], list[dict]], result: str, breaks: Callable[[Callable[[Column], Column]], Column] | None = None, most: int = 10_000) -> DataFrame:
     """key, part and the fold's rows (DDL `result`) of each document.
 
     breaks: given a function that looks one row back, a condition under which the fold's state starts anew anyway. A
     document is then gathered stretch by stretch, however many rows it has, and part counts within a stretch. Without
-    breaks a document's rows are gathered together, so it is for documents of bounded size.
+    breaks a document is folded `most` rows at a time, each such stretch by itself, and its number (stretch, from 0) is
+    given out too.
     """
+    laid = Laid(df, key, *order)
     if breaks is not None:
-        w = Window.partitionBy(key).orderBy(*order)
-        fresh = F.coalesce(breaks(lambda c: F.lag(c).over(w)), F.lit(True))
-        df = df.withColumn("__fresh", fresh.cast("int")).withColumn("__stretch", F.sum("__fresh").over(w))
+        asked: list[Column] = []
+
+        def back(c: Column) -> Column:
+            asked.append(c)
+            return F.col(f"__b{len(asked) - 1}")
+
+        fresh = breaks(back)
+        laid = laid.neighbour(**{f"__b{i}": c for i, c in enumerate(asked)}).islands(fresh, "stretch")
     else:
-        df = df.withColumn("__stretch", F.lit(0))
-    rows = df.select(F.col(key).alias("__key"), "__stretch", F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[c.alias(n) for n, c in columns.items()]).alias("r"))
-    arrays = rows.groupBy("__key", "__stretch").agg(F.sort_array(F.collect_list("r")).alias("rows")).drop("__stretch")
+        laid = laid.summed_before(__n=F.lit(1))
+        laid.df = laid.df.withColumn("stretch", F.floor(F.col("__n") / most))
+    rows = laid.rows().select(F.col(key).alias("__key"), "stretch", F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[c.alias(n) for n, c in columns.items()]).alias("r"))
+    arrays = rows.groupBy("__key", "stretch").agg(F.sort_array(F.collect_list("r")).alias("rows"))
     kind = df.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = [(k, fold([r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows])) for k, rows in zip(f["__key"], f["rows"], strict=True)]
-            yield pd.DataFrame({"__key": [k for k, _ in out], "out": [o for _, o in out]})
+            out = [fold([r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows]) for rows in f["rows"]]
+            yield pd.DataFrame({"__key": f["__key"], "stretch": f["stretch"], "out": out})
 
-    made = arrays.mapInPandas(run, f"__key {kind}, out array<struct<{result}>>")
-    return made.select(F.col("__key").alias(key), F.posexplode("out").alias("part", "o")).select(key, "part", "o.*")
+    made = arrays.mapInPandas(run, f"__key {kind}, stretch long, out array<struct<{result}>>")
+    named = ["stretch"] if breaks is None else []
+    return made.select(F.col("__key").alias(key), *named, F.posexplode("out").alias("part", "o")).select(key, *named, "part", "o.*")
 
 
 def words_to_segments(words: list[dict], gap: float, longest: float) -> list[dict]:
@@ -89,17 +100,6 @@ def chunks_of_segments(segments: list[dict], shortest: float, gap: float, longes
     return out
 
 
-def short_merged(segments: list[dict], shortest: float) -> list[dict]:
-    """A segment shorter than the limit joins the one before it, whatever its kind."""
-    out: list[dict] = []
-    for s in segments:
-        if out and s["end"] - s["start"] < shortest:
-            out[-1]["end"] = s["end"]
-        else:
-            out.append({"kind": s["kind"], "start": s["start"], "end": s["end"]})
-    return out
-
-
 def greedy_packed(items: list[dict], most: float, gap: float = 0.0, count: int | None = None) -> list[dict]:
     """Bins of items (id, size) in order: a bin ends before its size with the gaps, or its count, would exceed the limit. A larger item is a bin of its own."""
     out: list[dict] = []

@@ -44,20 +44,33 @@ def stability(items: DataFrame, model: str, condition: str, value: str) -> DataF
 
 
 def quantiles(items: DataFrame, group: str, value: str, shares: tuple[float, ...] = (0.1, 0.5, 0.9)) -> DataFrame:
-    """Linear quantiles of each group; null and NaN are skipped."""
-    clean = F.when(~F.isnan(value), F.col(value))
-    return items.groupBy(group).agg(*[_round(F.percentile(clean, p)).alias(f"p{int(p * 100)}") for p in shares])
+    """group, and p10, p50, ...: linear quantiles of each group; null and NaN are skipped, a group of only these has nulls.
+
+    The values are sorted once over all groups and the two places around each quantile are looked up, so no task holds a group.
+    """
+    from spoolwright.operators.order import ranked
+
+    v = F.when(~F.isnan(value), F.col(value))
+    rows = items.select(F.col(group).alias("__g"), v.alias("__v"))
+    placed = ranked(rows.where("__v is not null"), "__g", "__v")
+    sizes = placed.groupBy("__g").agg(F.min("pos").alias("__from"), F.count(F.lit(1)).alias("__n"))
+    at = lambda p: (F.col("__n") - 1) * F.lit(p)
+    places = [F.struct(F.lit(i).alias("i"), (F.col("__from") + F.floor(at(p)) + up).alias("pos"), (F.lit(up) + (1 - 2 * up) * (1 - (at(p) - F.floor(at(p))))).alias("w")) for i, p in enumerate(shares) for up in (0, 1)]
+    wanted = sizes.select(F.explode(F.array(*places)).alias("x")).select("x.*").where("w > 0")
+    found = placed.join(wanted, "pos").groupBy("__g").agg(*[_round(F.sum(F.when(F.col("i") == i, F.col("__v") * F.col("w")))).alias(f"p{int(100 * p)}") for i, p in enumerate(shares)])
+    groups = rows.select(F.col("__g").alias("__all")).distinct()
+    return groups.join(found, groups["__all"].eqNullSafe(found["__g"]), "left").drop("__g").withColumnRenamed("__all", group)
 
 
 def pairwise_wins(items: DataFrame, key: str, model: str, value: str, models: list[str]) -> DataFrame:
-    """a, b, items, wins, rate: how often model a is strictly below model b on the items of both.
+    """a, b, items, wins, rate: how often model a is strictly below model b on the items of both. A model against itself has the rate 0.5 and no wins.
 
     The models are few: one row for each item holds all their values, so items meet by an aggregate instead of a self-join.
     """
     wide = items.groupBy(key).pivot(model, models).agg(F.avg(value))
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y")) for a in models for b in models if a != b]
+    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y")) for a in models for b in models]
     long = wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("x is not null and y is not null")
-    return long.groupBy("a", "b").agg(F.count(F.lit(1)).alias("items"), F.sum((F.col("x") < F.col("y")).cast("long")).alias("wins"), _round(F.avg((F.col("x") < F.col("y")).cast("double"))).alias("rate"))
+    return long.groupBy("a", "b").agg(F.count(F.lit(1)).alias("items"), F.sum((F.col("x") < F.col("y")).cast("long")).alias("wins"), _round(F.avg(F.when(F.col("a") == F.col("b"), 0.5).otherwise((F.col("x") < F.col("y")).cast("double")))).alias("rate"))
 
 
 def ecdf(items: DataFrame, group: str, value: str) -> DataFrame:
@@ -96,17 +109,19 @@ def performance_curve(items: DataFrame, key: str, model: str, value: str, points
     return met.groupBy(model, "point", "tau").agg(_round(share).alias("share")).select(model, "point", _round(F.col("tau")).alias("tau"), "share")
 
 
-def bootstrap_interval(items: DataFrame, group: str, value: str, draws: int = 1200, seed: int = 42) -> DataFrame:
+def bootstrap_interval(items: DataFrame, group: str, key: str, value: str, draws: int = 1200, seed: int = 42) -> DataFrame:
     """group, n, mean, low, high: 95 % interval of the mean by resampling.
 
-    The values of a group are dealt to 1000 blocks, and blocks are drawn with replacement, so no task needs a group's rows.
+    The values of a group are dealt to 1000 blocks by their key's hash, and blocks are drawn with replacement, so no task
+    needs a group's rows and the result is the same however the rows are laid out.
     """
-    cells = items.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("__b", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1000)))
-    sums = cells.groupBy(group, "__b").agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("n"))
+    cells = items.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("__b", F.pmod(F.xxhash64(key), F.lit(1000)))
+    sums = cells.groupBy(group, "__b").agg(F.sum(F.col(value).cast("decimal(38,12)")).cast("double").alias("s"), F.count(F.lit(1)).alias("n"))
     kind = items.schema[group].dataType.simpleString()
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         rng = np.random.default_rng(seed)
+        frame = frame.sort_values("__b")
         s, n = frame["s"].to_numpy(float), frame["n"].to_numpy(float)
         pick = rng.integers(0, len(s), (draws, len(s)))
         means = s[pick].sum(axis=1) / n[pick].sum(axis=1)
@@ -118,10 +133,12 @@ def bootstrap_interval(items: DataFrame, group: str, value: str, draws: int = 12
 
 def summary(items: DataFrame, group: str, value: str) -> DataFrame:
     """Count, sum, mean, population deviation and quantiles of each group."""
-    v = F.when(~F.isnan(value), F.col(value))
-    return items.groupBy(group).agg(
-        F.count(v).alias("n"), _round(F.sum(v)).alias("total"), _round(F.avg(v)).alias("mean"), _round(F.stddev_pop(v)).alias("deviation"), *[_round(F.percentile(v, p)).alias(f"p{int(100 * p)}") for p in (0.5, 0.75, 0.9, 0.95)]
-    )
+    from spoolwright.lineage import cut
+
+    kept = cut(items.select(group, F.when(~F.isnan(value), F.col(value)).alias(value)), "summary-values")  # read twice
+    totals = kept.groupBy(F.col(group).alias("__g")).agg(F.count(value).alias("n"), _round(F.sum(value)).alias("total"), _round(F.avg(value)).alias("mean"), _round(F.stddev_pop(value)).alias("deviation"))
+    at = quantiles(kept, group, value, (0.5, 0.75, 0.9, 0.95))
+    return at.join(totals, at[group].eqNullSafe(totals["__g"])).drop("__g")
 
 
 def content_signature(files: DataFrame, group: str, *parts: str) -> DataFrame:

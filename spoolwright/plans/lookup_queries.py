@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoolwright.functions import hashing, paths
@@ -21,15 +21,18 @@ def path_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.select("row_id", "file_key", F.element_at(F.split("file_key", "/"), -1).alias("name"), paths.tail_from_marker(F.col("file_key"), ("/chunks/", "/recordings/")).alias("tail"))
 
 
-def group_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The leak-safe group of a row: base uid, parent uid, transcript and index, source and index, else the file's stem."""
+def _group_key() -> Column:
+    """The leak-safe group of a row: base uid, parent uid, transcript and index, source and index, else the file's uid or stem. Null for a row without any."""
     some = lambda c: F.nullif(F.trim(c), F.lit(""))
     index = F.format_string("%06d", "chunk_index")
-    key = F.coalesce(
+    return F.coalesce(
         F.concat(F.lit("base:"), some("base_uid")), F.concat(F.lit("parent:"), some("parent_uid")), F.concat(F.lit("transcript:"), some("transcript_json"), F.lit(":"), index),
         F.concat(F.lit("source:"), some("source_audio"), F.lit(":"), index), F.concat(F.lit("uid:"), paths.uid_from_name(paths.base_name(F.col("audio_path")))), F.concat(F.lit("stem:"), paths.stem(F.col("audio_path"))),
     )
-    return _rows(spark, sf_dir).select("row_id", key.alias("group_key"))
+
+
+def group_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(spark, sf_dir).select("row_id", _group_key().alias("group_key"))
 
 
 def uid_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +73,9 @@ def seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.group_split(_rows(spark, sf_dir).select("row_id", "transcript_json"), F.coalesce("transcript_json", F.lit("?")), 0.1, "13").select("row_id", "in_test")
+    """A tenth of the groups for test; a row that has no key is a group of its own."""
+    keyed = _rows(spark, sf_dir).select("row_id", F.coalesce(_group_key(), F.concat(F.lit("row:"), F.col("row_id").cast("string"))).alias("g"))
+    return selection.group_split(keyed, F.col("g"), 0.1, "13").select("row_id", "in_test")
 
 
 def leak_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +213,7 @@ def hash_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts shared between the sources of documents."""
+    """Texts shared between the splits of the manifest."""
     return selection.overlap_counts(table(spark, sf_dir, "manifest_rows").where("split_name is not null").select("split_name", "text"), "split_name", "text")
 
 
@@ -251,12 +256,14 @@ _SPEECH = "audio_path IS NOT NULL AND NOT isnan(start_time) AND NOT isnan(end_ti
 _MS = "CAST(round({c} * 1000) AS BIGINT)"
 _SCORE = "CASE WHEN NOT isnan(confidence) THEN confidence END"
 
+_GROUPED = f"""r AS (SELECT *, printf('%06d', chunk_index) AS i, list_last(string_split({_SLASHED.format(p="audio_path")}, '/')) AS f FROM manifest_rows),
+k AS (SELECT row_id, coalesce('base:' || nullif(trim(base_uid), ''), 'parent:' || nullif(trim(parent_uid), ''), 'transcript:' || nullif(trim(transcript_json), '') || ':' || i, 'source:' || nullif(trim(source_audio), '') || ':' || i,
+    'uid:' || nullif(regexp_extract(f, '^([0-9a-f]{{8,40}})_[0-9a-f]{{8,40}}__', 1), ''), 'stem:' || regexp_replace(f, '\\.[a-z][a-z0-9]{{1,4}}$', '')) AS g FROM r)"""
+
 ORACLES = {
     "path_keys": f"""WITH k AS (SELECT row_id, {_ROOTED} AS file_key FROM manifest_rows WHERE audio_path IS NOT NULL)
 SELECT row_id, file_key, list_last(string_split(file_key, '/')) AS name, coalesce(CASE WHEN contains(file_key, '/chunks/') THEN substr(file_key, instr(file_key, '/chunks/')) END, CASE WHEN contains(file_key, '/recordings/') THEN substr(file_key, instr(file_key, '/recordings/')) END) AS tail FROM k""",
-    "group_keys": f"""WITH r AS (SELECT *, printf('%06d', chunk_index) AS i, list_last(string_split({_SLASHED.format(p="audio_path")}, '/')) AS f FROM manifest_rows)
-SELECT row_id, coalesce('base:' || nullif(trim(base_uid), ''), 'parent:' || nullif(trim(parent_uid), ''), 'transcript:' || nullif(trim(transcript_json), '') || ':' || i, 'source:' || nullif(trim(source_audio), '') || ':' || i,
-    'uid:' || nullif(regexp_extract(f, '^([0-9a-f]{{8,40}})_[0-9a-f]{{8,40}}__', 1), ''), 'stem:' || regexp_replace(f, '\\.[a-z][a-z0-9]{{1,4}}$', '')) AS group_key FROM r""",
+    "group_keys": f"""WITH {_GROUPED} SELECT row_id, g AS group_key FROM k""",
     "uid_backfill": """WITH b AS (SELECT row_id, uid, coalesce(nullif(base_uid, ''), substr(sha1(concat_ws('|', coalesce(source_audio, audio_path, ''), printf('%06d', coalesce(chunk_index, 0)), '0.000', '0.000')), 1, 16)) AS b FROM manifest_rows)
 SELECT row_id, b AS base_uid, coalesce(nullif(uid, ''), b) AS uid FROM b""",
     "hash_buckets": f"""SELECT doc_id, {_H15.format(k="doc_id::VARCHAR")} % 10000 AS bucket, ('0x' || substr(sha1(doc_id::VARCHAR), 1, 16))::UBIGINT::VARCHAR AS hash,
@@ -265,8 +272,8 @@ SELECT row_id, b AS base_uid, coalesce(nullif(uid, ''), b) AS uid FROM b""",
     "deterministic_cap": f"SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY {_ORDER.format(seed='cap', k='doc_id')}, doc_id) <= 25",
     "deterministic_percent": f"SELECT doc_id FROM documents QUALIFY row_number() OVER (ORDER BY {_ORDER.format(seed='percent', k='doc_id')}, doc_id) <= greatest(1, floor(count(*) OVER () * 0.1))",
     "seeded_shuffle": f"SELECT doc_id, row_number() OVER (ORDER BY {_ORDER.format(seed='17', k='doc_id')}, doc_id) - 1 AS pos FROM documents",
-    "group_split": f"""WITH r AS (SELECT row_id, coalesce(transcript_json, '?') AS g FROM manifest_rows), g AS (SELECT DISTINCT g FROM r),
-t AS (SELECT g, row_number() OVER (ORDER BY {_ORDER.format(seed='13', k='g')}, g) <= greatest(1, round_even(count(*) OVER () * 0.1, 0)) AS in_test FROM g) SELECT row_id, in_test FROM r JOIN t USING (g)""",
+    "group_split": f"""WITH {_GROUPED}, a AS (SELECT row_id, coalesce(g, 'row:' || row_id) AS g FROM k), g AS (SELECT DISTINCT g FROM a),
+t AS (SELECT g, row_number() OVER (ORDER BY {_ORDER.format(seed='13', k='g')}, g) <= greatest(1, round_even(count(*) OVER () * 0.1, 0)) AS in_test FROM g) SELECT row_id, in_test FROM a JOIN t USING (g)""",
     "leak_audit": "SELECT base_uid FROM manifest_rows WHERE split_name = 'train' AND base_uid IS NOT NULL INTERSECT SELECT base_uid FROM manifest_rows WHERE split_name = 'test'",
     "public_private_cap": f"""WITH n AS (SELECT floor(count(*) * 0.3 / 0.7 + 1e-9) AS n FROM documents WHERE lang = 'de')
 SELECT doc_id, 'private' AS scope FROM documents WHERE lang = 'de'

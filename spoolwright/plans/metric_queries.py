@@ -16,13 +16,16 @@ STAGES = ["freq", "gain", "noise", "others_mix", "reverb", "tempo"]
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "manifest_rows").select("row_id", "uid", "base_uid", "aug_stage", "split_name", "text", "transcript_json", "core_start", "core_end", F.col("aug_meta")["amount"].try_cast("double").alias("confidence"))
     first = rows.where("aug_stage = ''").groupBy("uid").agg(F.min_by(F.struct("row_id", "text", "transcript_json", "core_start", "core_end"), "row_id").alias("s")).select(F.col("uid").alias("base_uid"), "s.*")
-    refs = first.select("base_uid", F.col("text").alias("ref"), (F.col("core_end") - F.col("core_start")).alias("seconds"), F.lead("text").over(Window.partitionBy("transcript_json").orderBy("row_id")).alias("other"))
+    # a row without a transcript has no other speaker; the window spreads these over their uids
+    first = first.withColumn("other", F.lead("text").over(Window.partitionBy(F.coalesce("transcript_json", F.concat(F.lit("\x01"), "base_uid"))).orderBy("row_id")))
+    refs = first.select("base_uid", F.col("text").alias("ref"), (F.col("core_end") - F.col("core_start")).alias("seconds"), F.col("other"))
     return rows.where("aug_stage <> '' and base_uid is not null").select("row_id", "base_uid", F.col("aug_stage").alias("model"), F.col("split_name").alias("cond"), F.col("text").alias("hyp"), "confidence").join(refs, "base_uid")
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = edits.error_rates(_pairs(spark, sf_dir)).withColumnsRenamed({"wer": "wer_target", "cer": "cer_target", "word_edits": "target_edits", "ref_words": "target_words"}).drop("ref_chars", "char_edits")
     both = edits.error_rates(target, "other", "hyp").withColumnsRenamed({"wer": "wer_other", "cer": "cer_other"}).drop("word_edits", "ref_words", "ref_chars", "char_edits")
+    both = both.withColumns({c: F.when(F.col("other").isNotNull(), F.col(c)) for c in ("wer_other", "cer_other")})
     return both.withColumnsRenamed({"target_edits": "word_edits", "target_words": "ref_words"}).withColumn("capped", F.coalesce(F.length("hyp") >= 150, F.lit(False)))
 
 
@@ -77,7 +80,7 @@ def ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     """95 % intervals of the mean error by resampling (no SQL form)."""
-    return metrics.bootstrap_interval(_items(spark, sf_dir), "model", "wer_target")
+    return metrics.bootstrap_interval(_items(spark, sf_dir), "model", "row_id", "wer_target")
 
 
 def _models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,13 +192,13 @@ def _distance(a: str, b: str) -> str:
 
 
 _ITEMS = f"""WITH f AS (SELECT * FROM manifest_rows WHERE aug_stage = '' QUALIFY row_number() OVER (PARTITION BY uid ORDER BY row_id) = 1),
-b AS (SELECT uid AS base_uid, text AS ref, core_end - core_start AS seconds, lead(text) OVER (PARTITION BY transcript_json ORDER BY row_id) AS other FROM f),
+b AS (SELECT uid AS base_uid, text AS ref, core_end - core_start AS seconds, CASE WHEN transcript_json IS NOT NULL THEN lead(text) OVER (PARTITION BY transcript_json ORDER BY row_id) END AS other FROM f),
 p AS (SELECT m.row_id, m.base_uid, m.aug_stage AS model, m.split_name AS cond, m.text AS hyp, TRY_CAST(m.aug_meta['amount'] AS DOUBLE) AS confidence, b.ref, b.seconds, b.other,
     coalesce({_ASR.format(t='b.ref')}, '') AS r, coalesce({_ASR.format(t='m.text')}, '') AS h, coalesce({_ASR.format(t='b.other')}, '') AS o
     FROM manifest_rows m JOIN b ON b.base_uid = m.base_uid WHERE m.aug_stage <> ''),
 e AS (SELECT *, CASE WHEN r = '' THEN 0 ELSE len(string_split(r, ' ')) END AS ref_words, CASE WHEN o = '' THEN 0 ELSE len(string_split(o, ' ')) END AS other_words,
     {_distance('r', 'h')} AS word_edits, {_distance('o', 'h')} AS other_edits, levenshtein(r, h) AS char_edits FROM p),
-items AS (SELECT *, CASE WHEN ref_words > 0 THEN word_edits / ref_words WHEN h <> '' THEN 1.0 ELSE 0.0 END AS wer_target, CASE WHEN other_words > 0 THEN other_edits / other_words WHEN h <> '' THEN 1.0 ELSE 0.0 END AS wer_other,
+items AS (SELECT *, CASE WHEN ref_words > 0 THEN word_edits / ref_words WHEN h <> '' THEN 1.0 ELSE 0.0 END AS wer_target, CASE WHEN other IS NULL THEN NULL WHEN other_words > 0 THEN other_edits / other_words WHEN h <> '' THEN 1.0 ELSE 0.0 END AS wer_other,
     CASE WHEN r <> '' THEN char_edits / length(r) WHEN h <> '' THEN 1.0 ELSE 0.0 END AS cer_target, coalesce(length(hyp) >= 150, false) AS capped FROM e)
 """
 _RECORD = """count(*) AS items, round(avg(wer_target), 6) AS wer_target, round(avg(wer_other), 6) AS wer_other, round(avg(cer_target), 6) AS cer_target, round(sum(word_edits) / nullif(sum(ref_words), 0), 6) AS wer_micro,
@@ -214,7 +217,7 @@ ORACLES = {
     "stability": _ITEMS + ", m AS (SELECT model, cond, avg(wer_target) AS m FROM items WHERE cond IS NOT NULL GROUP BY ALL) SELECT model, round(avg(m), 6) AS mean, round(stddev_samp(m), 6) AS deviation, round(min(m), 6) AS worst, round(max(m), 6) AS best FROM m GROUP BY model",
     "tail_quantiles": _ITEMS + "SELECT model, round(quantile_cont(wer_other, 0.1), 6) AS p10, round(quantile_cont(wer_other, 0.5), 6) AS p50, round(quantile_cont(wer_other, 0.9), 6) AS p90 FROM items GROUP BY model",
     "prediction_summary": _ITEMS + "SELECT model, count(cer_target) AS n, round(sum(cer_target), 6) AS total, round(avg(cer_target), 6) AS mean, round(stddev_pop(cer_target), 6) AS deviation, " + ", ".join(f"round(quantile_cont(cer_target, {p}), 6) AS p{int(100 * p)}" for p in (0.5, 0.75, 0.9, 0.95)) + " FROM items GROUP BY model",
-    "pairwise_win_matrix": _ITEMS + ", v AS (SELECT base_uid, model, avg(wer_target) AS v FROM items GROUP BY ALL) SELECT x.model AS a, y.model AS b, count(*) AS items, CAST(sum((x.v < y.v)::INT) AS BIGINT) AS wins, round(avg((x.v < y.v)::INT), 6) AS rate FROM v x JOIN v y ON x.base_uid = y.base_uid AND x.model <> y.model GROUP BY 1, 2",
+    "pairwise_win_matrix": _ITEMS + ", v AS (SELECT base_uid, model, avg(wer_target) AS v FROM items GROUP BY ALL) SELECT x.model AS a, y.model AS b, count(*) AS items, CAST(sum((x.v < y.v)::INT) AS BIGINT) AS wins, round(avg(CASE WHEN x.model = y.model THEN 0.5 ELSE (x.v < y.v)::INT END), 6) AS rate FROM v x JOIN v y ON x.base_uid = y.base_uid GROUP BY 1, 2",
     "performance_profile": _ITEMS + ", v AS (SELECT base_uid, model, avg(wer_other) AS v FROM items GROUP BY ALL), r AS (SELECT model, v / b AS r FROM (SELECT *, min(v) OVER (PARTITION BY base_uid) AS b FROM v) WHERE b > 0) SELECT model, tau, round(avg((r <= tau)::INT), 6) AS share FROM r, (SELECT unnest([1.0, 1.1, 1.5, 2.0])::DOUBLE AS tau) GROUP BY ALL",
     "performance_curve": _ITEMS + """, v AS (SELECT base_uid, model, avg(wer_target) AS v FROM items GROUP BY ALL), r AS (SELECT model, v / b AS r FROM (SELECT *, min(v) OVER (PARTITION BY base_uid) AS b FROM v) WHERE b > 0),
 m AS (SELECT least(greatest(quantile_cont(r, 0.95), 1.2), 6.0)::DOUBLE AS m FROM r), t AS (SELECT i::INT AS point, CASE WHEN i = 119 THEN m ELSE 1.0::DOUBLE + i * ((m - 1.0::DOUBLE) / 119) END AS tau FROM m, range(120) x(i))

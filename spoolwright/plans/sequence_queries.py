@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spoolwright.functions import scores
 from spoolwright.operators import folds
 from spoolwright.operators import sequences as sq
-from spoolwright.operators.order import ranked
+from spoolwright.operators.order import Laid, ranked
 from spoolwright.session import table
 
 
@@ -84,12 +84,12 @@ def dir_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance from each stretch of a packed file to the one before, next to the stored gap."""
     m = table(spark, sf_dir, "batch_map").where("end_sec > start_sec").select(F.lower("batch_file").alias("batch"), "map_id", "start_sec", "end_sec", "gap_sec")
-    w = Window.partitionBy("batch").orderBy("start_sec", "end_sec", "map_id")
-    return m.select("map_id", F.round(F.col("start_sec") - F.lag("end_sec").over(w), 3).alias("measured"), "gap_sec")
+    rows = Laid(m, "batch", "start_sec", "end_sec", "map_id").neighbour(before=F.col("end_sec")).rows()
+    return rows.select("map_id", F.round(F.col("start_sec") - F.col("before"), 3).alias("measured"), "gap_sec")
 
 
 def words_to_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detected words of each recording joined to segments (stateful fold, no SQL form)."""
+    """Detected words of each recording joined to segments (stateful fold)."""
     s = table(spark, sf_dir, "speech_segments").where(_OK)
     return folds.folded(s, "audio_path", ["start_time", "end_time", "segment_id"], {"start": F.col("start_time"), "end": F.col("end_time"), "word": F.coalesce("text", F.lit(""))}, lambda r: folds.words_to_segments(r, 0.6, 12.0), "start double, end double, text string, n int", lambda back: F.col("start_time") - back(F.col("end_time")) >= 0.6)
 
@@ -112,23 +112,25 @@ def chunk_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.withColumn("tier", scores.quality_tier(F.col("no_speech"), F.col("logprob"), F.col("ratio"))).where("tier <> 'drop'")
 
 
+_CHARS = "coalesce(length(text), 0)"
+
+
 def greedy_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of each source packed in order into bins of 60 000 characters (stateful fold, no SQL form)."""
-    d = table(spark, sf_dir, "documents").where("source is not null")
-    return folds.folded(d, "recording_key", ["doc_id"], {"id": F.col("doc_id"), "size": F.coalesce(F.length("text"), F.lit(0)).cast("double")}, lambda r: folds.greedy_packed(r, 60_000.0, 2.0), "id long, bin int, offset double")
+    """Documents of each recording packed in order into bins of at most 60 000 characters and 40 documents (stateful fold)."""
+    d = table(spark, sf_dir, "documents").where("recording_key is not null")
+    return folds.folded(d, "recording_key", ["doc_id"], {"id": F.col("doc_id"), "size": F.expr(_CHARS).cast("double")}, lambda r: folds.greedy_packed(r, 60_000.0, 2.0, 40), "id long, bin int, offset double")
 
 
 def largest_first_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of each recording, largest first, into the least loaded bin (stateful fold, no SQL form)."""
     d = table(spark, sf_dir, "documents").where("recording_key is not null")
-    return folds.folded(d, "recording_key", ["doc_id"], {"id": F.col("doc_id"), "size": F.coalesce(F.length("text"), F.lit(0)).cast("double")}, lambda r: folds.least_loaded_packed(r, 60_000.0, 100), "id long, bin int")
+    return folds.folded(d, "recording_key", ["doc_id"], {"id": F.col("doc_id"), "size": F.expr(_CHARS).cast("double")}, lambda r: folds.least_loaded_packed(r, 60_000.0, 100), "id long, bin int")
 
 
 def short_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short detections of each recording join the one before (stateful fold, no SQL form)."""
-    s = table(spark, sf_dir, "audio_segments").where(_OK)
-    columns = {"start": F.col("start_time"), "end": F.col("end_time"), "kind": F.coalesce(F.col("is_speech").cast("string"), F.lit(""))}
-    return folds.folded(s, "audio_path", ["start_time", "end_time", "segment_id"], columns, lambda r: folds.short_merged(r, 0.3), "kind string, start double, end double")
+    """Short detections of each recording join the one before."""
+    s = table(spark, sf_dir, "audio_segments").where(_OK).select("audio_path", F.col("start_time").alias("start"), F.col("end_time").alias("end"), "segment_id", F.coalesce(F.col("is_speech").cast("string"), F.lit("")).alias("kind"))
+    return sq.short_merged(s, "audio_path", "start", "end", "kind", ["start", "end", "segment_id"], 0.3)
 
 
 def ext_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +193,19 @@ SELECT audio_path, segment_id, reached FROM (SELECT *, row_number() {_W}) AS k F
 SELECT task_id, CASE WHEN k = 1 THEN n ELSE n || '-' || k END AS unique_label FROM r""",
     "dir_shards": f"WITH {_POS} SELECT pos // 300 AS shard, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last FROM p GROUP BY 1",
     "batch_gaps": "SELECT map_id, round(start_sec - lag(end_sec) OVER (PARTITION BY lower(batch_file) ORDER BY start_sec, end_sec, map_id), 3) AS measured, gap_sec FROM batch_map WHERE end_sec > start_sec",
+    "short_merge": """WITH s AS (SELECT audio_path, start_time AS s, end_time AS e, segment_id, coalesce(is_speech::VARCHAR, '') AS k FROM audio_segments WHERE audio_path IS NOT NULL AND NOT isnan(start_time) AND NOT isnan(end_time) AND end_time > start_time),
+n AS (SELECT *, CASE WHEN e - s >= 0.3 OR lag(s) OVER (PARTITION BY audio_path ORDER BY s, e, segment_id) IS NULL THEN 1 ELSE 0 END AS nw FROM s), g AS (SELECT *, sum(nw) OVER (PARTITION BY audio_path ORDER BY s, e, segment_id ROWS UNBOUNDED PRECEDING) AS i FROM n)
+SELECT audio_path, arg_min(k, (s, e, segment_id)) AS kind, arg_min(s, (s, e, segment_id)) AS start, arg_max(e, (s, e, segment_id)) AS "end" FROM g GROUP BY audio_path, i""",
+    "words_to_segments": """WITH RECURSIVE s AS MATERIALIZED (SELECT audio_path AS p, start_time AS s, end_time AS e, coalesce(text, '') AS w, row_number() OVER (PARTITION BY audio_path ORDER BY start_time, end_time, segment_id) AS r
+    FROM speech_segments WHERE audio_path IS NOT NULL AND NOT isnan(start_time) AND NOT isnan(end_time) AND end_time > start_time),
+f(p, r, e, seg, part, b) AS (SELECT p, r, e, 0, 0, s FROM s WHERE r = 1 UNION ALL SELECT s.p, s.r, s.e, CASE WHEN s.s - f.e >= 0.6 OR f.e - f.b >= 12 THEN seg + 1 ELSE seg END, CASE WHEN s.s - f.e >= 0.6 THEN 0 WHEN f.e - f.b >= 12 THEN part + 1 ELSE part END,
+    CASE WHEN s.s - f.e >= 0.6 OR f.e - f.b >= 12 THEN s.s ELSE f.b END FROM f JOIN s ON s.p = f.p AND s.r = f.r + 1)
+SELECT p AS audio_path, part, any_value(b) AS start, arg_max(f.e, f.r) AS "end", string_agg(w, ' ' ORDER BY f.r) AS text, count(*)::INT AS n FROM f JOIN s USING (p, r) GROUP BY p, seg, part""",
+    "greedy_pack": """WITH RECURSIVE d AS MATERIALIZED (SELECT recording_key AS k, doc_id, coalesce(length(text), 0)::DOUBLE AS z, row_number() OVER (PARTITION BY recording_key ORDER BY doc_id) - 1 AS r FROM documents WHERE recording_key IS NOT NULL),
+f(k, r, doc_id, bin, used, n, o) AS (SELECT k, r, doc_id, 0, z, 1, 0.0::DOUBLE FROM d WHERE r % 10000 = 0 UNION ALL
+    SELECT d.k, d.r, d.doc_id, CASE WHEN used + z + 2 > 60000 OR n >= 40 THEN bin + 1 ELSE bin END, CASE WHEN used + z + 2 > 60000 OR n >= 40 THEN z ELSE used + z + 2 END, CASE WHEN used + z + 2 > 60000 OR n >= 40 THEN 1 ELSE n + 1 END,
+    CASE WHEN used + z + 2 > 60000 OR n >= 40 THEN 0 ELSE used + 2 END FROM f JOIN d ON d.k = f.k AND d.r = f.r + 1 WHERE d.r % 10000 <> 0)
+SELECT k AS recording_key, r // 10000 AS stretch, (r % 10000)::INT AS part, doc_id AS id, bin, o AS offset FROM f""",
     "ext_tumbling": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "ext_sliding": "SELECT start, count(*) AS n FROM (SELECT unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS start FROM events) GROUP BY 1",
     "ext_session": """WITH n AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOURS THEN 0 ELSE 1 END AS nw FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS i FROM n)

@@ -141,9 +141,43 @@ def test_profile_on_a_grid(spark):
 
 
 def test_bootstrap_covers_the_mean(spark):
-    df = spark.range(4000).select(F.lit("m").alias("g"), (F.col("id") % 100 / 100.0).alias("v"))
-    r = metrics.bootstrap_interval(df, "g", "v").first()
+    df = spark.range(4000).select("id", F.lit("m").alias("g"), (F.col("id") % 100 / 100.0).alias("v"))
+    r = metrics.bootstrap_interval(df, "g", "id", "v").first()
     assert r.n == 4000 and r.low < r.mean < r.high and abs(r.mean - 0.495) < 1e-9
+    assert metrics.bootstrap_interval(df.repartition(7, "v"), "g", "id", "v").first() == r
+
+
+def test_quantiles_of_groups(spark):
+    rng = np.random.default_rng(8)
+    data = [(g, None if x > 0.95 else float("nan") if x > 0.9 else round(float(x), 2)) for g in ("a", "b", None) for x in rng.random(101)] + [("one", 3.0), ("none", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    shares = (0.0, 0.1, 0.5, 0.9, 1.0)
+    for r in metrics.quantiles(df, "g", "v", shares).collect():
+        own = [v for g, v in data if g == r.g and v is not None and v == v]
+        assert [r[f"p{int(100 * p)}"] for p in shares] == [round(float(np.quantile(own, p)), 6) if own else None for p in shares]
+    assert metrics.quantiles(df, "g", "v").count() == 5
+    got = {r.g: r for r in metrics.summary(df, "g", "v").collect()}
+    assert len(got) == 5 and got["none"].n == 0 and got["one"].p95 == 3.0
+
+
+def test_group_split_share(spark):
+    """Rows without a group are none together."""
+    df = spark.range(5000).select("id", F.when(F.col("id") % 2 == 0, (F.col("id") % 300).cast("string")).alias("g"))
+    got = selection.group_split(df, F.coalesce("g", F.concat(F.lit("row:"), F.col("id").cast("string"))), 0.1, "13")
+    assert got.where("in_test").select(F.coalesce("g", F.concat(F.lit("row:"), F.col("id").cast("string")))).distinct().count() == 265
+    assert 0.06 < got.where("in_test").count() / 5000 < 0.14
+    assert got.where("g is not null").groupBy("g").agg(F.count_distinct("in_test").alias("n")).where("n > 1").count() == 0
+
+
+def test_list_edits_within_a_band():
+    rng = np.random.default_rng(3)
+    lists = [rng.integers(1, 5, rng.integers(0, 30)) for _ in range(200)]
+    flat = lambda x: (np.concatenate(x), np.r_[0, np.cumsum([len(v) for v in x])])
+    a, b = lists[:100], lists[100:]
+    full = edits.list_edits(*flat(a), *flat(b), np.full(100, 60))
+    for most in (rng.integers(0, 12, 100), np.zeros(100, int)):
+        got = edits.list_edits(*flat(a), *flat(b), most, cells=64)
+        assert np.array_equal(got <= most, full <= most) and np.array_equal(got[full <= most], full[full <= most])
 
 
 def test_vectors(spark):
