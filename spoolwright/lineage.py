@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.match(r"local(\[|$)", master):  # a local-cluster has executors of its own
         raise ValueError(f"{_SETTING} must name a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _own:
@@ -33,6 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The path's Hadoop file system and the path in it, whatever store it lies in."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Writes the frame to the shared folder and returns a scan of it; the plan above it ends here."""
     spark = df.sparkSession
@@ -46,10 +53,9 @@ def drop_cuts(spark: SparkSession) -> None:
     """Deletes the tables that this process has written with cut() in the session; frames built on them can't be read afterwards."""
     mine = [path for owner, path in _written if owner is spark]
     _written[:] = [(owner, path) for owner, path in _written if owner is not spark]
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in mine:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+        files, where = hadoop_path(spark, path)
+        files.delete(where, True)
 
 
 @atexit.register

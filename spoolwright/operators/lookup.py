@@ -87,20 +87,58 @@ def unseen(rows: DataFrame, key: str, seen: DataFrame) -> DataFrame:
     return rows.join(seen.select(key).distinct(), key, "left_anti")
 
 
+#: A span lies in at most so many bins; a longer one has bins of a greater width, a power of two of the least.
+MOST_BINS = 64
+
+
+def _width(length: Column, least: int) -> Column:
+    """The power of two by which the bins of a span of this length are wider than the least."""
+    return F.greatest(F.ceil(F.log2(length / F.lit(float(least * (MOST_BINS - 1))))), F.lit(0)).cast("int")
+
+
+def _bin(at: Column, least: int) -> Column:
+    return F.floor(at / (F.lit(least) * F.expr("shiftleft(1L, __w)")))
+
+
 def containing_spans(points: DataFrame, spans: DataFrame, on: str, at: str, start: str, end: str, bin_ms: int) -> DataFrame:
-    """Interval join: points and the spans of the same key that contain them, by way of bins so that a key of very many rows is no single group."""
-    s = spans.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(start) / bin_ms), F.floor(F.col(end) / bin_ms))))
-    p = points.withColumn("__bin", F.floor(F.col(at) / bin_ms))
-    return p.join(s, [on, "__bin"]).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))).drop("__bin")
+    """Interval join: points and the spans of the same key that contain them, by way of bins so that a key of very many rows is no single group, and so that no span, however long, is in many bins."""
+    s = spans.where(F.col(end) >= F.col(start)).withColumn("__w", _width(F.col(end) - F.col(start) + 1, bin_ms))
+    widths = sorted(r[0] for r in s.select("__w").distinct().collect())  # at most 60
+    s = s.withColumn("__bin", F.explode(F.sequence(_bin(F.col(start), bin_ms), _bin(F.col(end), bin_ms))))
+    p = points.withColumn("__w", F.explode(F.lit(widths).cast("array<int>"))).withColumn("__bin", _bin(F.col(at), bin_ms))
+    return p.join(s, [on, "__w", "__bin"]).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))).drop("__bin", "__w")
 
 
 def overlapping_spans(left: DataFrame, right: DataFrame, on: str, bin_ms: int) -> DataFrame:
     """Interval join: pairs of the same key that overlap, clipped. left: on, l_start, l_end; right: on, r_start, r_end (whole numbers).
 
-    A pair that shares several bins is taken in the bin where the later of both starts.
+    A pair meets in bins of the wider one's width; where it shares several, it is taken in that where the later of both starts.
+    """
+    sides = [d.where(f"{x}_end > {x}_start").withColumn(f"__{x}", _width(F.col(f"{x}_end") - F.col(f"{x}_start"), bin_ms)) for d, x in ((left, "l"), (right, "r"))]
+    widths = sorted({r[0] for d, x in zip(sides, "lr") for r in d.select(f"__{x}").distinct().collect()})  # at most 60
+    binned = []
+    for d, x in zip(sides, "lr"):
+        wide = d.withColumn("__w", F.explode(F.filter(F.lit(widths).cast("array<int>"), lambda w, own=f"__{x}": w >= F.col(own))))
+        binned.append(wide.withColumn("__bin", F.explode(F.sequence(_bin(F.col(f"{x}_start"), bin_ms), _bin(F.col(f"{x}_end") - 1, bin_ms)))))
+    met = binned[0].join(binned[1], [on, "__w", "__bin"]).where("l_start < r_end and r_start < l_end and __w = greatest(__l, __r)")
+    return met.where(F.col("__bin") == _bin(F.greatest("l_start", "r_start"), bin_ms)).drop("__bin", "__w", "__l", "__r").withColumns({"start_ms": F.greatest("l_start", "r_start"), "end_ms": F.least("l_end", "r_end")})
+
+
+HOT = 1000
+
+
+def joined_apart(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined with a table of one row for each key, where some keys may have very many rows.
+
+    Keys with more than one in HOT of all rows (there can't be more than HOT of them) are joined by a broadcast of their
+    few table rows, so no task gathers a hot key; the others are joined by shuffle. how: inner or left_semi. The rows are
+    counted by key first, so they should be written already. Null keys match nothing.
     """
-    bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / bin_ms), F.floor((F.col(e) - 1) / bin_ms)))
-    a = left.where("l_end > l_start").withColumn("__bin", bins("l_start", "l_end"))
-    b = right.where("r_end > r_start").withColumn("__bin", bins("r_start", "r_end"))
-    met = a.join(b, [on, "__bin"]).where("l_start < r_end and r_start < l_end")
-    return met.where(F.col("__bin") == F.floor(F.greatest("l_start", "r_start") / bin_ms)).drop("__bin").withColumns({"start_ms": F.greatest("l_start", "r_start"), "end_ms": F.least("l_end", "r_end")})
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = rows.count()
+    hot = [r[0] for r in counts.where(F.col("__n") * HOT > total).select(key).collect()]
+    if not hot:
+        return rows.join(table, key, how)
+    is_hot = F.col(key).isin(hot)
+    few = table.where(is_hot).limit(HOT)  # one row for each key
+    return rows.where(is_hot).join(F.broadcast(few), key, how).unionByName(rows.where(~is_hot).join(table.where(~is_hot), key, how))

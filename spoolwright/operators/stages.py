@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spoolwright.lineage import cut, hadoop_path
+
 REGISTRY: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 
@@ -42,28 +44,26 @@ def should_run(name: str, sig: str, done: dict[str, str], outputs_present: bool,
 
 
 def append_unseen(spark: SparkSession, rows: DataFrame, key: str, out: str, seen: str) -> int:
-    """Appends the rows whose key is in no earlier run, once each, and the keys; gives their number. Running it again adds nothing.
+    """Appends the rows whose key is in no earlier run, once each, and their keys; gives their number. Running it again adds nothing.
 
-    The rows go first: a run that breaks off in between is caught by the keys in `out` itself.
+    Only keys are read, and only new rows and keys are written. A file beside `seen` marks a run under way; where an
+    earlier run has left one, it broke off, and the keys in `out` count too.
     """
-    known = None
-    for path in (seen, out):
-        if _exists(spark, path):
-            keys = spark.read.parquet(path).select(key)
-            known = keys if known is None else known.unionByName(keys)
+    files, pending = hadoop_path(spark, f"{seen}.pending")
+    have = lambda path: (lambda f, p: f.exists(p))(*hadoop_path(spark, path))
+    known = [spark.read.parquet(path).select(key) for path in ([seen, out] if files.exists(pending) else [seen]) if have(path)]
     fresh = rows.where(F.col(key).isNotNull()).dropDuplicates([key])
-    if known is not None:
-        fresh = fresh.join(known.distinct(), key, "left_anti")
-    before = spark.read.parquet(out).count() if _exists(spark, out) else 0
-    fresh.write.mode("append").parquet(out)
-    after = spark.read.parquet(out)
-    after.select(key).distinct().write.mode("overwrite").parquet(seen)
-    return after.count() - before
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    for keys in known:
+        fresh = fresh.join(keys.distinct(), key, "left_anti")
+    files.create(pending, True).close()
+    made = cut(fresh, "unseen-rows")
+    made.write.mode("append").parquet(out)
+    added = made.select(key)
+    for keys in known[1:]:
+        added = added.unionByName(keys).distinct()
+    added.write.mode("append").parquet(seen)
+    files.delete(pending, False)
+    return made.count()
 
 
 def is_original(df: DataFrame) -> Column:

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spoolwright.functions.text import FALSE_WORDS, TRUE_WORDS
+from spoolwright.lineage import cut, hadoop_path
+
 BAD = "_bad_line"
 
 
@@ -25,16 +28,17 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, bad:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no (from 1), text of every line, blank ones too. Each file is numbered by itself."""
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("i", "text"))
-    return _without_last(lines)
-
+    """file, line_no (from 1), text of every line, blank ones too. Each file is numbered by itself.
 
-def _without_last(lines: DataFrame) -> DataFrame:
-    """A text that ends in a line feed has no further line behind it."""
-    size = F.max("i").over(Window.partitionBy("file"))
-    marked = lines.withColumn("__last", size)
-    return marked.where(~((F.col("i") == F.col("__last")) & (F.col("text") == ""))).select("file", (F.col("i") + 1).alias("line_no"), F.regexp_replace("text", "\r$", "").alias("text"))
+    A large file is read in blocks: lines are numbered within their block, and each block's first number follows from the
+    sizes of the blocks before it, one small row for each.
+    """
+    read = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"), F.col("value").alias("text"))
+    lines = cut(read, "lines")
+    blocks = lines.groupBy("__path", "__block").agg(F.min("__id").alias("__from"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__path").orderBy("__block")) - F.col("__n")
+    numbered = lines.join(blocks.select("__path", "__block", "__from", before.alias("__before")), ["__path", "__block"])
+    return numbered.select("file", (F.col("__before") + F.col("__id") - F.col("__from") + 1).alias("line_no"), F.regexp_replace("text", "\r$", "").alias("text"))
 
 
 def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
@@ -70,7 +74,7 @@ def read_models(spark: SparkSession, path: str, modes: tuple[str, ...] = ("en",
     """The model registry: model_name, backend, model_ref, language_mode, enabled. An unknown language mode or flag raises when the row is read."""
     df = read_csv(spark, path, ["model_name", "backend", "model_ref", "language_mode", "enabled"])
     word = F.lower(F.trim("enabled"))
-    enabled = F.when(word.isin("1", "true", "t", "yes", "y", "on"), True).when(word.isin("0", "false", "f", "no", "n", "off"), False).otherwise(F.raise_error(F.concat(F.lit("enabled: "), F.coalesce("enabled", F.lit("null")))).cast("boolean"))
+    enabled = F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False).otherwise(F.raise_error(F.concat(F.lit("enabled: "), F.coalesce("enabled", F.lit("null")))).cast("boolean"))
     mode = F.when(F.col("language_mode").isin(*modes), F.col("language_mode")).otherwise(F.raise_error(F.concat(F.lit("language_mode: "), F.coalesce("language_mode", F.lit("null")))).cast("string"))
     return df.withColumns({"enabled": enabled, "language_mode": mode})
 
@@ -155,9 +159,9 @@ def fresh_probes(files: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFra
 
 def processed_files(spark: SparkSession, path: str) -> DataFrame:
     """file: the different entries of an output CSV, for a run that resumes. Column file where the first line names it, else the first column; a missing CSV gives none."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files, where = hadoop_path(spark, path)
     none = spark.createDataFrame([], "file string")
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    if not files.exists(where):
         return none
     headed = "file" in (spark.read.text(path).first() or [""])[0].lower()
     rows = spark.read.option("header", headed).option("multiLine", True).option("escape", '"').csv(path)

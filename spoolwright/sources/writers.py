@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spoolwright.functions.text import ass_text, ass_time, vtt_time
+from spoolwright.lineage import hadoop_path
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
@@ -18,11 +19,30 @@ def write_split(df: DataFrame, flag: Column, path: str) -> None:
     df.withColumn("side", flag).where("side is not null").write.mode("overwrite").partitionBy("side").parquet(path)
 
 
-def append_csv(spark: SparkSession, df: DataFrame, path: str, old: str | None) -> list[str]:
-    """Writes the old table's rows and the new ones under the union of their columns; what a row lacks is empty. Gives the header."""
-    both = spark.read.option("header", True).csv(old).unionByName(df.select([F.col(c).cast("string") for c in df.columns]), allowMissingColumns=True) if old else df
-    both.na.fill("").write.mode("overwrite").option("header", True).csv(path)
-    return both.columns
+def _csv_parts(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """Folder and header of the parts of a grown CSV, in order; there is one for each different header."""
+    files, where = hadoop_path(spark, path)
+    names = sorted(str(x.getPath().getName()) for x in files.listStatus(where) if x.isDirectory()) if files.exists(where) else []
+    return [(n, spark.read.option("header", True).csv(f"{path}/{n}").columns) for n in names]
+
+
+def append_csv(spark: SparkSession, df: DataFrame, path: str) -> list[str]:
+    """Appends the rows to a CSV that may get new columns: rows of a header that is there already go to its part, others begin a part. Nothing old is written again. Gives the united header."""
+    parts = _csv_parts(spark, path)
+    name = next((n for n, header in parts if header == df.columns), f"part-{len(parts):05d}")
+    df.write.mode("append").option("header", True).option("escape", '"').csv(f"{path}/{name}")
+    return list(dict.fromkeys(c for _, header in [*parts, (name, df.columns)] for c in header))
+
+
+def read_grown_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a CSV that append_csv has written, as strings; what a row lacks is null."""
+    frames = [spark.read.option("header", True).option("escape", '"').csv(f"{path}/{n}") for n, _ in _csv_parts(spark, path)]
+    if not frames:
+        raise ValueError(f"no parts in {path}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 def rejected_report(df: DataFrame, reasons: Column, path: str) -> None:

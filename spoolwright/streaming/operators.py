@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -10,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spoolwright.lineage import shared_dir
+from spoolwright.lineage import hadoop_path, shared_dir
 from spoolwright.operators.edits import word_count
 from spoolwright.operators.stages import append_unseen
 
@@ -21,7 +20,8 @@ def file_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if os.path.isdir(path):
+    files, where = hadoop_path(spark, path)
+    if files.getFileStatus(where).isDirectory():
         return reader.parquet(path)
     folder, name = path.rsplit("/", 1)
     return reader.option("pathGlobFilter", name).parquet(folder)
@@ -58,11 +58,11 @@ def agreed_words(state: tuple[list[str], int], words: list[str]) -> tuple[tuple[
     return (words, max(done, same)), fresh
 
 
-def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: str | None = None) -> DataFrame:
+def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: int | None = 3_600_000) -> DataFrame:
     """key, seq, words: what becomes final with each hypothesis of a growing text. State is one hypothesis for each key.
 
-    idle: processing time (such as '10 minutes') after which a silent key's rest is given out with seq null and its state
-    dropped.
+    idle: milliseconds of processing time after which a silent key's rest is given out with seq null and its state dropped; None keeps
+    the state for ever, which is for a fixed set of keys only.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 

@@ -214,6 +214,36 @@ def test_stage_gate_and_appending(spark, tmp_path):
     assert stages.append_unseen(spark, spark.createDataFrame([("c", 9)], "k string, v int"), "k", out, seen) == 1
 
 
+def test_a_broken_run_adds_nothing_twice(spark, tmp_path):
+    out, seen = f"file://{tmp_path}/out", f"file://{tmp_path}/seen"
+    df = spark.createDataFrame([("a", 1), ("b", 3)], "k string, v int")
+    assert stages.append_unseen(spark, df.where("k = 'a'"), "k", out, seen) == 1
+    # rows written, keys not: what a run that breaks off leaves
+    df.where("k = 'b'").write.mode("append").parquet(out)
+    (tmp_path / "seen.pending").touch()
+    assert stages.append_unseen(spark, df, "k", out, seen) == 0 and not (tmp_path / "seen.pending").exists()
+    assert stages.append_unseen(spark, df, "k", out, seen) == 0 and spark.read.parquet(out).count() == 2
+
+
+def test_spans_of_any_length(spark):
+    rng = np.random.default_rng(4)
+    spans = [(i, "k", int(s), int(s + rng.choice([1, 5, 300, 10**6, 10**15]))) for i, s in enumerate(rng.integers(-500, 2000, 60))]
+    left = spark.createDataFrame(spans[:30], "a int, k string, l_start long, l_end long")
+    right = spark.createDataFrame(spans[30:], "b int, k string, r_start long, r_end long")
+    got = sorted((r.a, r.b, r.start_ms, r.end_ms) for r in lookup.overlapping_spans(left, right, "k", 10).collect())
+    assert got == sorted((a, b, max(s, x), min(e, y)) for a, _, s, e in spans[:30] for b, _, x, y in spans[30:] if s < y and x < e)
+    points = spark.createDataFrame([(i, "k", int(p)) for i, p in enumerate(rng.integers(-500, 3000, 50))], "i int, k string, p long")
+    got = sorted((r.i, r.b) for r in lookup.containing_spans(points, right, "k", "p", "r_start", "r_end", 10).collect())
+    assert got == sorted((r.i, b) for r in points.collect() for b, _, x, y in spans[30:] if x <= r.p <= y)
+
+
+def test_hot_keys_joined_apart(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 10 < 3, "hot").when(F.col("id") % 10 == 9, None).otherwise(F.col("id").cast("string")).alias("k"))
+    table = df.where("k is not null and (k = 'hot' or id % 4 = 0)").groupBy("k").agg(F.min("id").alias("v"))
+    for how in ("inner", "left_semi"):
+        assert sorted(map(tuple, lookup.joined_apart(df, table, "k", how).collect())) == sorted(map(tuple, df.join(table, "k", how).select(*lookup.joined_apart(df, table, "k", how).columns).collect()))
+
+
 def test_keywords_are_bounded(spark):
     with pytest.raises(ValueError):
         edits.near_keywords(spark.range(1).select(F.lit("a").alias("t")), "t", spark.range(10_001).select(F.col("id").cast("string").alias("k")), "k", 1)

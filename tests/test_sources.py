@@ -111,8 +111,27 @@ def test_inventory_and_probe_cache(spark, tmp_path):
 
 def test_header_grows(spark, tmp_path):
     a = spark.createDataFrame([("x", 1)], "f string, a int")
-    writers.append_csv(spark, a, f"file://{tmp_path}/1", None)
-    assert writers.append_csv(spark, a.withColumnRenamed("a", "b"), f"file://{tmp_path}/2", f"file://{tmp_path}/1") == ["f", "a", "b"]
+    path = f"file://{tmp_path}/grown"
+    assert writers.append_csv(spark, a, path) == ["f", "a"]
+    assert writers.append_csv(spark, a.withColumnRenamed("a", "b"), path) == ["f", "a", "b"]
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "grown").rglob("*.csv")}
+    assert writers.append_csv(spark, a, path) == ["f", "a", "b"]
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    assert sorted(map(tuple, writers.read_grown_csv(spark, path).collect()), key=str) == [("x", "1", None), ("x", "1", None), ("x", None, "1")]
+
+
+def test_lines_of_a_file_in_blocks(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"".join(b"%d\r\n" % i if i % 3 else b"\n" for i in range(2000)))
+    (tmp_path / "b.txt").write_text("x\n\ny")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {(r.file, r.line_no): r.text for r in readers.numbered_lines(spark, f"file://{tmp_path}").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {("a.txt", i + 1): str(i) if i % 3 else "" for i in range(2000)} | {("b.txt", 1): "x", ("b.txt", 2): "", ("b.txt", 3): "y"}
 
 
 def test_subtitles(spark):
