@@ -58,10 +58,10 @@ def agreed_words(state: tuple[list[str], int], words: list[str]) -> tuple[tuple[
     return (words, max(done, same)), fresh
 
 
-def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: int | None = 3_600_000) -> DataFrame:
+def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: int | None = None) -> DataFrame:
     """key, seq, words: what becomes final with each hypothesis of a growing text. State is one hypothesis for each key.
 
-    idle: milliseconds of processing time after which a silent key's rest is given out with seq null and its state dropped; None keeps
+    idle: milliseconds of processing time after which a silent key's rest is given out with seq null and its state dropped, for a stream that goes on (a run over what is there now would not end with it). None keeps
     the state for ever, which is for a fixed set of keys only.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
