@@ -103,7 +103,8 @@ def packed(counts: DataFrame, capacity: int = CAPACITY, full: float = NEARLY_FUL
 
     counts: doc_id, tokens. A document above the capacity is cut into full pieces and a rest, all others stay whole.
     Documents without tokens (null counts as none) lie in a container like others. Repeated rows are packed each by
-    themselves. An empty table gives no rows.
+    themselves. An empty table gives no rows. Items are numbered by partition and place, so another layout of the files
+    may give other containers, as well filled.
     """
     tokens = F.coalesce(F.col("tokens"), F.lit(0)).cast("long")
     needed = F.greatest(F.ceil(tokens / capacity), F.lit(1)).cast("long")

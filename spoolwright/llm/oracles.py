@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from spoolwright.llm.consistent import consistent_sql
+
 _SLASHED = r"regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace({p}, '^\s+|\s+$', '', 'g')), '[\\/]+(?:\.[\\/]+)*', '/', 'g'), '^\./', ''), '/\.?$', '')"
 
 
@@ -38,4 +40,20 @@ f AS (SELECT task_id, max(x) AS f FROM i JOIN t USING (task_id) WHERE x <= s + l
 g AS (SELECT task_id, max(gap) AS gap FROM (SELECT task_id, lead(x) OVER (PARTITION BY task_id ORDER BY x) - x AS gap FROM i JOIN f USING (task_id) WHERE x >= f) GROUP BY task_id)
 SELECT task_id, CASE WHEN gap <= l - coalesce(o, 0) THEN 'natural' ELSE 'forced' END AS cut_kind FROM t LEFT JOIN g USING (task_id)"""
 
-ORACLES = {"p3_found": _MIXED, "p4_found": _CHANGED, "p5_found": _KINDS}
+# the consistent form is that of the operator (p4_found checks it by another rule); the words, the edits and the paths are said anew
+_PAIRS = rf"""WITH m AS MATERIALIZED (SELECT row_id, split_name = 'train' AS train, text, {_file("audio_path")} AS f, start_sec, end_sec FROM manifest_rows WHERE split_name IN ('train', 'validation', 'test') AND row_id IS NOT NULL),
+l AS MATERIALIZED (SELECT row_id, train, list_filter(regexp_extract_all(regexp_replace(lower(z), '[''’]', '', 'g'), '[\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS l FROM ({consistent_sql("(SELECT row_id, train, text FROM m WHERE text IS NOT NULL)", "text", "z")})),
+c AS MATERIALIZED (SELECT row_number() OVER () AS c, train, l, len(l) AS n FROM (SELECT DISTINCT train, l FROM l WHERE len(l) >= 8)),
+w AS MATERIALIZED (SELECT c, train, n, w, row_number() OVER (PARTITION BY c, w) AS i FROM (SELECT c, train, n, unnest(l) AS w FROM c)),
+k AS (SELECT e.c AS e, t.c AS t FROM w e JOIN w t ON e.w = t.w AND e.i = t.i AND NOT e.train AND t.train GROUP BY 1, 2 HAVING 20 * (any_value(greatest(e.n, t.n)) - count(*)) <= 3 * any_value(greatest(e.n, t.n))),
+d AS (SELECT e, t, x.l AS a, y.l AS b, list_distinct(list_concat(x.l, y.l)) AS d FROM k JOIN c x ON x.c = e JOIN c y ON y.c = t),
+h AS (SELECT e, t FROM d WHERE 20 * levenshtein(array_to_string(list_transform(a, lambda w: chr(list_position(d, w)::INT)), ''), array_to_string(list_transform(b, lambda w: chr(list_position(d, w)::INT)), '')) <= 3 * greatest(len(a), len(b))),
+p AS (SELECT a.row_id AS x, b.row_id AS y FROM h JOIN c e ON e.c = h.e JOIN c t ON t.c = h.t JOIN l a ON a.l = e.l AND NOT a.train JOIN l b ON b.l = t.l AND b.train
+    UNION SELECT a.row_id, b.row_id FROM m a JOIN m b ON a.f = b.f AND NOT a.train AND b.train AND a.start_sec IS NOT DISTINCT FROM b.start_sec AND a.end_sec IS NOT DISTINCT FROM b.end_sec)
+SELECT least(x, y) AS row_id_a, greatest(x, y) AS row_id_b FROM p"""
+
+_TEXTS = " UNION ALL ".join(
+    f"(SELECT '{t}' AS tbl, row_key, consistent, coalesce(consistent <> text, false) AS changed FROM ({consistent_sql(f'(SELECT {key} AS row_key, text FROM {t})', 'text', 'consistent')}))" for t, key in (("segment_refs", "seg_key"), ("manifest_rows", "row_id"))
+)
+
+ORACLES = {"p1_found": _PAIRS, "p4_texts": _TEXTS, "p3_found": _MIXED, "p4_found": _CHANGED, "p5_found": _KINDS}

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from spoolwright.functions.paths import file_key, root_pairs
 from spoolwright.lineage import cut
 from spoolwright.llm.consistent import consistent_sql, duck_batches
+from spoolwright.operators.edits import list_edits
 
 TRAIN, EVALUATION = "train", ("validation", "test")
 MIN_WORDS = 8
@@ -234,42 +235,6 @@ def keys(reps: DataFrame, sketch: np.ndarray, mask: int = MASK, edits: tuple[int
     return reps.select("row_id", "words").mapInArrow(emit, "key long, row_id long, n int, bits long")
 
 
-def word_edits(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, most: np.ndarray, cells: int = 1 << 20) -> np.ndarray:
-    """Edit distance of the i-th lists of words on both sides, for all i, as far as it is at most most[i]; more than that is given as some larger number.
-
-    Only the cells within `most` of the diagonal are filled. Rows of similar width are computed together.
-    """
-    la, lb = np.diff(a_starts), np.diff(b_starts)
-    out = most + 1
-    order = np.flatnonzero(np.abs(la - lb) <= most)
-    order = order[np.lexsort((la[order], lb[order], most[order]))]
-    at = 0
-    while at < len(order):
-        rows = order[at : at + max(1, cells // int(max(lb[order[at]], 1) + 2 * most[order[at]] + 1))]
-        rows = rows[most[rows] <= 2 * most[rows[0]] + 1]
-        at += len(rows)
-        k, width, height = int(most[rows].max()), int(lb[rows].max()), int(la[rows].max())
-        # column c of the padded right side is word c - k, so that the band of row i is a slice
-        right = np.zeros((len(rows), max(width, height) + 2 * k + 1), np.uint64)
-        inside = np.arange(width) < lb[rows][:, None]
-        right[:, k : k + width][inside] = b[(b_starts[rows][:, None] + np.arange(width))[inside]]
-        band = np.arange(2 * k + 1, dtype=np.int64)
-        far = np.int64(1 << 40)
-        prev = np.broadcast_to(np.where(band >= k, band - k, far), (len(rows), 2 * k + 1)).copy()
-        done = np.flatnonzero(la[rows] == 0)
-        out[rows[done]] = lb[rows][done]
-        for i in range(1, height + 1):
-            left = a[np.minimum(a_starts[rows] + i - 1, max(len(a) - 1, 0))]
-            column = band + i - k  # words of the right side used so far
-            cur = prev + (right[:, i - 1 : i + 2 * k] != left[:, None])
-            cur[:, :-1] = np.minimum(cur[:, :-1], prev[:, 1:] + 1)
-            cur = np.where(column == 0, i, np.where(column < 0, far, cur))
-            prev = np.minimum.accumulate(cur - band, axis=1) + band
-            ends = np.flatnonzero(la[rows] == i)
-            out[rows[ends]] = prev[ends, (lb - la)[rows][ends] + k]
-    return out
-
-
 def shared_words(a: Chunks, b: Chunks) -> np.ndarray:
     """Summed lengths of the chunks that the i-th records of both sides share (with their copies)."""
     rows = len(a.begins) - 1
@@ -313,7 +278,7 @@ def near_classes(reps: DataFrame, mask: int = MASK, edits: tuple[int, int] = EDI
             ask = np.flatnonzero(far == 0)
             some_a, some_b = (pa.array(batch.column(i)).take(pa.array(ask)) for i in (2, 3))
             sa, sb = records(some_a), records(some_b)
-            far[ask] = word_edits(sa.h, sa.starts, sb.h, sb.starts, most[ask])
+            far[ask] = list_edits(sa.h, sa.starts, sb.h, sb.starts, most[ask])
             keep = far <= most
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep)), pa.array(far[keep].astype(np.int32)), pa.array((shared / na)[keep]), pa.array((shared / nb)[keep])],

@@ -26,7 +26,7 @@ BANDS = {1: "easy", 2: "easy", 4: "demanding", 5: "demanding"}
 MAX_RATED = 20_000
 MAX_WORDS = 300_000
 MIN_WORDS = 80
-#: Words in fewer rated documents are left to the background (they are mostly names).
+#: Words in fewer rated documents count as unknown, for the level and for telling English (they are mostly names and slips).
 LEAST_DOCUMENTS = 2
 #: Part of a document's words that must be known for it to be English.
 ENGLISH_SHARE = 0.5

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from spoolwright.functions.paths import file_key, root_pairs, without_extension
 from spoolwright.lineage import cut
 from spoolwright.operators.intervals import whole_ms
+from spoolwright.operators.lookup import containing_spans, joined_apart
 
 SPLITS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
 #: Stretches of a packed file are looked up in bins of this length.
@@ -65,9 +66,8 @@ def recording_nodes(rows: DataFrame, batch_map: DataFrame, roots: DataFrame) ->
         batch_map.select(file_key(F.col("batch_file"), pairs).alias("batch"), _node("r", without_extension(file_key(F.col("original_file"), pairs))).alias("rec"), whole_ms(F.col("start_sec")).alias("ms"), whole_ms(F.col("end_sec")).alias("me"))
         .where("me > ms and rec is not null")
         .distinct()
-        .withColumn("bin", F.explode(F.sequence(F.floor(F.col("ms") / BIN_MS), F.floor(F.col("me") / BIN_MS))))
     )
-    within = packed.select("row_id", "batch", "s", "e", F.floor(F.col("s") / BIN_MS).alias("bin")).join(stretches, ["batch", "bin"]).where("ms <= s and e <= me").groupBy("row_id").agg(F.min("rec").alias("rec"))
+    within = containing_spans(packed.select("row_id", "batch", "s", "e"), stretches, "batch", "s", "ms", "me", BIN_MS).where("e <= me").groupBy("row_id").agg(F.min("rec").alias("rec"))
     columns = ["row_id", "split_name", "uid_node", "rec_node", "base_node"]
     found = cut(packed.drop("rec_node").join(within, "row_id", "left").withColumnRenamed("rec", "rec_node").select(*columns), "packed-rows")
     return others.select(*columns).unionByName(found).withColumn("base_node", F.when(F.col("rec_node").isNull(), F.col("base_node")))
@@ -99,7 +99,7 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         up = cut(least.select("v", "o").join(other, "o", "left").select("v", F.when((F.col("back") == F.col("v")) & (F.col("v") < F.col("o")), F.col("v")).otherwise(F.col("o")).alias("r")), "forest-up")
         while True:
             further = up.select(F.col("v").alias("r"), F.col("r").alias("rr"))
-            jumped = cut(up.join(further, "r").select("v", F.col("rr").alias("r"), (F.col("rr") != F.col("r")).alias("moved")), "forest-jump")
+            jumped = cut(joined_apart(up, further, "r").select("v", F.col("rr").alias("r"), (F.col("rr") != F.col("r")).alias("moved")), "forest-jump")
             up = jumped.select("v", "r")
             if jumped.where("moved").isEmpty():
                 break
@@ -137,7 +137,7 @@ def mixed_recordings(rows: DataFrame, batch_map: DataFrame, roots: DataFrame) ->
     """row_id of every row whose recording has rows with two or more different non-null splits. The row's own split may be null; rows that lead to no recording are left out; repeated rows count like others."""
     placed, groups = grouped_rows(rows, batch_map, roots)
     mixed = groups.where(F.col("recorded") & (F.size("splits") > 1)).select("node")
-    return placed.where("leads").join(mixed, "node", "left_semi").select("row_id")
+    return joined_apart(placed.where("leads"), mixed, "node", "left_semi").select("row_id")
 
 
 def dealt_roots(groups: DataFrame, shares: tuple[tuple[str, float], ...] = SPLITS) -> DataFrame:
@@ -178,4 +178,5 @@ def grouped_splits(rows: DataFrame, batch_map: DataFrame, roots: DataFrame, shar
     """row_id, root, split_name (the present one), split (the new one)."""
     placed, groups = grouped_rows(rows, batch_map, roots)
     dealt = cut(dealt_roots(groups.select("root", "rows").distinct(), shares), "dealt")
-    return placed.select("row_id", "split_name", "node").join(groups.select("node", "root"), "node").join(dealt, "root").select("row_id", "root", "split_name", "split")
+    of = groups.select("node", "root").join(dealt, "root")  # one row for each node; the rows are joined once
+    return joined_apart(placed.select("row_id", "split_name", "node"), of, "node").select("row_id", "root", "split_name", "split")

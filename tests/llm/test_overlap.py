@@ -2,7 +2,6 @@ import random
 from collections import Counter
 from itertools import combinations
 
-import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -39,17 +38,6 @@ def found(spark, rows):
     return {(r.eval_id, r.train_id): r for r in got.collect()}
 
 
-def test_word_edits_match_a_plain_table():
-    rng = np.random.default_rng(3)
-    lists = [rng.integers(0, 5, rng.integers(0, 30)).astype(np.uint64) for _ in range(200)]
-    a, b = lists[:100], lists[100:]
-    flat = lambda x: (np.concatenate(x), np.r_[0, np.cumsum([len(v) for v in x])])
-    want = np.array([distance(x.tolist(), y.tolist()) for x, y in zip(a, b)])
-    for most in (np.full(100, 60), rng.integers(0, 12, 100)):
-        got = overlap.word_edits(*flat(a), *flat(b), most, cells=64)
-        assert np.array_equal(got <= most, want <= most) and np.array_equal(got[want <= most], want[want <= most])
-
-
 def chunks_of(texts, mask):
     c = overlap.chunked(overlap.records(pa.array(texts)), mask)
     return c, [Counter(zip(c.digest[a:b].tolist(), c.length[a:b].tolist())) for a, b in zip(c.begins, c.begins[1:])]
