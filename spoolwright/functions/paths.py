@@ -17,6 +17,11 @@ def slashed(path: Column) -> Column:
     return F.regexp_replace(p, r"/\.?$", "")
 
 
+def unquoted(path: Column) -> Column:
+    """Without blanks and then quotes round it, for paths out of lists and tables that people write."""
+    return F.regexp_replace(F.regexp_replace(path, r"^\s+|\s+$", ""), "^[\"']+|[\"']+$", "")
+
+
 def root_pairs(roots: DataFrame) -> list[tuple[str, str]]:
     """(root, canonical root) in slashed form, longest root first, so that a nested root wins. Rows with a null are ignored."""
     rows = (

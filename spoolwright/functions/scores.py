@@ -93,3 +93,25 @@ def context_size(seconds: Column, per_30s: int = 1500, step: int = 16) -> Column
 
 def real_time_factor(infer: Column, audio: Column) -> Column:
     return F.when(audio > 0, infer / audio)
+
+
+# Shares between which a score is spread, and the limits taken where there are too few values.
+SPREAD = (0.05, 0.95)
+FEW_VALUES, FEW_LIMITS = 5, (-2.0, 0.0)
+
+
+def spread_limits(values: Column) -> tuple[Column, Column]:
+    """Aggregates: the 5th and the 95th percentile between which a score is spread; -2 and 0 for fewer than five values. For groups of bounded size (a recording's segments)."""
+    n = F.count(values)
+    return tuple(F.when(n >= FEW_VALUES, F.percentile(values, share)).otherwise(limit) for share, limit in zip(SPREAD, FEW_LIMITS, strict=True))
+
+
+def colour_bin(x: Column, low: Column, high: Column, bins: int = 7) -> Column:
+    """Bin (from 0) of a clamped linear score; the greatest value lies in the last."""
+    share = F.when(high > low, (F.least(F.greatest(x, low), high) - low) / (high - low)).otherwise(0.5)
+    return F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+
+
+def efficiency(wer: Column, params: Column, latency: Column) -> Column:
+    """Accuracy by cost: null where the cost is not above 0."""
+    return F.when(params * latency > 0, 1 / (1 + F.greatest(wer, F.lit(0.0))) / (params * latency))

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spoolwright.functions.text import USELESS_TEXTS
 from spoolwright.operators.order import Laid
 
 
@@ -84,7 +85,7 @@ def chunks_of_segments(segments: list[dict], shortest: float, gap: float, longes
     out: list[dict] = []
     worst = {"no_speech": max, "logprob": min, "ratio": max}
     for s in segments:
-        if s["start"] is None or s["end"] is None or s["end"] <= s["start"] or (s["text"] or "").strip() in ("", ".", "…"):
+        if s["start"] is None or s["end"] is None or s["end"] <= s["start"] or (s["text"] or "").strip() in USELESS_TEXTS:
             continue
         last = out[-1] if out else None
         if last and last["end"] - last["start"] < shortest and s["start"] - last["end"] <= gap and s["end"] - last["start"] <= longest and (most_tokens is None or last["tokens"] + (s.get("tokens") or 0) <= most_tokens):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spoolwright.functions.hashing import hash_order
 from spoolwright.functions.text import asr_key, key_words
-from spoolwright.operators.order import ranked
+from spoolwright.operators.order import Laid, ranked
 
 
 def centred_window(start: Column, end: Column, need: Column, total: Column) -> tuple[Column, Column]:
@@ -76,9 +76,11 @@ def interleaved(rows: DataFrame, is_first: Column, key: str, seed: str) -> DataF
 
 def paired_events(events: DataFrame, key: str, at: str, kind: str, first: str, last: str) -> DataFrame:
     """key, start, end: each `first` event with the next `last` event of its key at or after it; without one it is left out."""
-    w = Window.partitionBy(key).orderBy(at, F.when(F.col(kind) == first, 0).otherwise(1)).rowsBetween(0, Window.unboundedFollowing)
-    following = F.first(F.when(F.col(kind) == last, F.col(at)), ignorenulls=True).over(w)
-    return events.where(F.col(kind).isin(first, last)).withColumn("__end", following).where((F.col(kind) == first) & F.col("__end").isNotNull()).select(key, F.col(at).alias("start"), F.col("__end").alias("end"))
+    marked = events.where(F.col(kind).isin(first, last)).select(key, F.col(at).alias("start"), F.when(F.col(kind) == first, 0).otherwise(1).alias("__k"))
+    # looking ahead is looking back from the end: the least of the later ends is the nearest
+    after = F.when(F.col("__k") == 1, F.col("start"))
+    rows = Laid(marked, key, F.desc("start"), F.desc("__k")).least_before(end=after).rows()
+    return rows.where("__k = 0 and end is not null").select(key, "start", "end")
 
 
 def argument_differences(a: Column, b: Column, ignored: list[str]) -> Column:
@@ -119,10 +121,10 @@ def json_texts(documents: DataFrame, key: str, json: str, names: tuple[str, ...]
 
 
 def first_rows_mean(df: DataFrame, group: str, order: list[str], n: int, vector: str, seconds: str) -> DataFrame:
-    """group, seconds, centroid of the first n rows of each group."""
+    """group, seconds, centroid of the first n rows of each group (a cap on the rows of a label: the limit is the feature)."""
     from spoolwright.operators.vectors import centroid
 
-    head = df.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__r") <= n)
+    head = Laid(df, group, *order).summed_before(__r=F.lit(1)).rows().where(F.col("__r") < n)
     total = head.groupBy(group).agg(F.round(F.sum(seconds), 3).alias("seconds"))
     return total.join(centroid(head, group, vector).drop("n"), group)
 

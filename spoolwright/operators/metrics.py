@@ -31,6 +31,23 @@ def metric_record() -> list[Column]:
     ]
 
 
+def full_record() -> list[Column]:
+    """The whole result record: micro and macro rates against target and other, win rate, both mean margins, cap rate, count. No items give no row."""
+    win = F.coalesce(F.col("wer_target") < F.col("wer_other"), F.lit(False)).cast("double")
+    micro = lambda edits, length: _round(F.sum(edits) / F.nullif(F.sum(length), F.lit(0)))
+    return [
+        F.count(F.lit(1)).alias("samples"), micro("word_edits", "ref_words").alias("wer_micro_target"), micro("other_edits", "other_words").alias("wer_micro_other"), micro("char_edits", "ref_chars").alias("cer_micro_target"), micro("other_char_edits", "other_chars").alias("cer_micro_other"),
+        *[_round(F.avg(f"{m}_{side}")).alias(f"{m}_macro_{side}") for m in ("wer", "cer") for side in ("target", "other")],
+        _round(F.avg(win)).alias("win_rate"), _round(F.avg(F.col("wer_other") - F.col("wer_target"))).alias("margin_wer"), _round(F.avg(F.col("cer_other") - F.col("cer_target"))).alias("margin_cer"), _round(F.avg(F.col("capped").cast("double"))).alias("cap_rate"),
+    ]
+
+
+def condition_means(items: DataFrame, model: str, condition: str) -> DataFrame:
+    """model, condition, mean win rate, error and margin; items without a condition are left out."""
+    win = F.coalesce(F.col("wer_target") < F.col("wer_other"), F.lit(False)).cast("double")
+    return items.where(F.col(condition).isNotNull()).groupBy(model, condition).agg(_round(F.avg(win)).alias("win"), _round(F.avg("wer_target")).alias("wer"), _round(F.avg(F.col("wer_other") - F.col("wer_target"))).alias("margin"))
+
+
 def by_condition(items: DataFrame, model: str, condition: str) -> DataFrame:
     """The record of each model in each condition, and over all conditions (condition null, overall true), in one pass."""
     grouped = items.groupingSets([[model, condition], [model]], model, condition)

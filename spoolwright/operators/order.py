@@ -90,6 +90,12 @@ class Laid:
         local = {n: F.max(c).over(self._window().rowsBetween(Window.unboundedPreceding, -1)) for n, c in columns.items()}
         return self._with(local, carry, lambda n, own, c: F.greatest(own, c))
 
+    def least_before(self, **columns: Column) -> Laid:
+        """With the least values of the columns in the rows of the key before this one; null for the first."""
+        carry = self._carried({n: F.min for n in columns}, columns, lambda n, c: F.min(c), latest=True)
+        local = {n: F.min(c).over(self._window().rowsBetween(Window.unboundedPreceding, -1)) for n, c in columns.items()}
+        return self._with(local, carry, lambda n, own, c: F.least(own, c))
+
     def islands(self, fresh: Column, name: str = "island") -> Laid:
         """With the number of the row at which the row's island begins: a row that is fresh, or the first of its key, begins one."""
         marked = object.__new__(Laid)

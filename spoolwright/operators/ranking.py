@@ -52,6 +52,11 @@ def leaderboard(registry: DataFrame, results: list[DataFrame], model: str, accur
     return scored.withColumn("position", F.row_number().over(Window.orderBy(F.col("score").desc_nulls_last(), F.asc(model))))
 
 
+def composite(models: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """The rows with composite: the weighted columns normalised over all rows, 0.5 where a column is constant; null where one is."""
+    return models.withColumn("composite", F.round(sum(w * min_max(c, 0.5) for c, w in weights.items()), PLACES))
+
+
 def severities(items: DataFrame) -> DataFrame:
     """The items with severity. Columns: wer_target, cer_target, confidence (may be null)."""
     return items.withColumn("severity", F.round(scores.severity(F.col("wer_target"), F.col("cer_target"), F.col("confidence")), PLACES))

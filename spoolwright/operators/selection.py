@@ -92,3 +92,19 @@ def two_way_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def cursor_slice(df: DataFrame, pos: str, start: int, n: int, done: DataFrame, key: str, text: str) -> DataFrame:
     """The next n rows from a position on that have a text and are not done; the new pointer is one past the last position."""
     return df.where((F.col(pos) >= start) & (F.trim(F.coalesce(text, F.lit(""))) != "")).join(done.select(key).distinct(), key, "left_anti").orderBy(pos).limit(n)
+
+
+def epoch_slice(df: DataFrame, key: str, seed: str, size: int, start: int, n: int) -> DataFrame:
+    """key, epoch, at: the next n places of a cursor from `start` on. The rows are gone through in epochs of `size` rows each in hash order; a new epoch is shuffled anew (the steps are the feature).
+
+    The plan is a function of seed, size and cursor alone, so a run that breaks off repeats the same rows.
+    """
+    epochs = range(start // size, (start + n - 1) // size + 1)
+    parts = []
+    for e in epochs:
+        placed = ranked(df.select(F.col(key), hash_order(f"{seed}{e}", F.col(key)).alias("__h")), "__h", key, name="at").where(F.col("at") < size)
+        parts.append(placed.select(key, F.lit(e).alias("epoch"), "at").where((F.col("at") + e * size >= start) & (F.col("at") + e * size < start + n)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

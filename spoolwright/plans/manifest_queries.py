@@ -100,5 +100,8 @@ SELECT row_id, concat_ws(';', CASE WHEN len(b) = 0 AND len(a) > 0 THEN 'became_e
 SELECT doc_id, row_number() OVER (ORDER BY (r + 0.5::DOUBLE) / n, c, doc_id) - 1 AS pos FROM r""",
     "paired_events": """WITH e AS (SELECT user_id, ts, event_type, min(CASE WHEN event_type = 'purchase' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS t FROM events WHERE event_type IN ('click', 'purchase'))
 SELECT user_id, ts AS start, t AS "end" FROM e WHERE event_type = 'click' AND t IS NOT NULL""",
+    "argument_changes": """WITH r AS (SELECT row_id, aug_meta AS b, lag(aug_meta) OVER (PARTITION BY base_uid ORDER BY row_id) AS a FROM manifest_rows WHERE base_uid IS NOT NULL AND aug_stage <> ''),
+k AS (SELECT row_id, a, b, unnest(list_distinct(list_concat(map_keys(a), coalesce(map_keys(b), [])))) AS name FROM r WHERE a IS NOT NULL)
+SELECT row_id, name, coalesce(a[name], 'null') || ' -> ' || coalesce(b[name], 'null') AS change FROM k WHERE a[name] IS DISTINCT FROM b[name] AND name <> 'seed'""",
     "nested_texts": "SELECT seg_key, '$.result.segments[0].text' AS path, text FROM segment_refs WHERE audio_path IS NOT NULL AND text IS NOT NULL UNION ALL SELECT seg_key, '$.result.segments[0].words[0].word', lang FROM segment_refs WHERE audio_path IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL",
 }

@@ -23,10 +23,10 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = edits.error_rates(_pairs(spark, sf_dir)).withColumnsRenamed({"wer": "wer_target", "cer": "cer_target", "word_edits": "target_edits", "ref_words": "target_words"}).drop("ref_chars", "char_edits")
-    both = edits.error_rates(target, "other", "hyp").withColumnsRenamed({"wer": "wer_other", "cer": "cer_other"}).drop("word_edits", "ref_words", "ref_chars", "char_edits")
-    both = both.withColumns({c: F.when(F.col("other").isNotNull(), F.col(c)) for c in ("wer_other", "cer_other")})
-    return both.withColumnsRenamed({"target_edits": "word_edits", "target_words": "ref_words"}).withColumn("capped", F.coalesce(F.length("hyp") >= 150, F.lit(False)))
+    target = edits.error_rates(_pairs(spark, sf_dir)).withColumnsRenamed({"wer": "wer_target", "cer": "cer_target", "word_edits": "target_edits", "ref_words": "target_words", "ref_chars": "target_chars", "char_edits": "target_char_edits"})
+    both = edits.error_rates(target, "other", "hyp").withColumnsRenamed({"wer": "wer_other", "cer": "cer_other", "word_edits": "other_edits", "ref_words": "other_words", "ref_chars": "other_chars", "char_edits": "other_char_edits"})
+    both = both.withColumns({c: F.when(F.col("other").isNotNull(), F.col(c)) for c in ("wer_other", "cer_other", "other_edits", "other_words", "other_chars", "other_char_edits")})
+    return both.withColumnsRenamed({"target_edits": "word_edits", "target_words": "ref_words", "target_chars": "ref_chars", "target_char_edits": "char_edits"}).withColumn("capped", F.coalesce(F.length("hyp") >= 150, F.lit(False)))
 
 
 def item_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,9 +197,9 @@ p AS (SELECT m.row_id, m.base_uid, m.aug_stage AS model, m.split_name AS cond, m
     coalesce({_ASR.format(t='b.ref')}, '') AS r, coalesce({_ASR.format(t='m.text')}, '') AS h, coalesce({_ASR.format(t='b.other')}, '') AS o
     FROM manifest_rows m JOIN b ON b.base_uid = m.base_uid WHERE m.aug_stage <> ''),
 e AS (SELECT *, CASE WHEN r = '' THEN 0 ELSE len(string_split(r, ' ')) END AS ref_words, CASE WHEN o = '' THEN 0 ELSE len(string_split(o, ' ')) END AS other_words,
-    {_distance('r', 'h')} AS word_edits, {_distance('o', 'h')} AS other_edits, levenshtein(r, h) AS char_edits FROM p),
+    {_distance('r', 'h')} AS word_edits, {_distance('o', 'h')} AS other_edits, levenshtein(r, h) AS char_edits, levenshtein(o, h) AS other_char_edits FROM p),
 items AS (SELECT *, CASE WHEN ref_words > 0 THEN word_edits / ref_words WHEN h <> '' THEN 1.0 ELSE 0.0 END AS wer_target, CASE WHEN other IS NULL THEN NULL WHEN other_words > 0 THEN other_edits / other_words WHEN h <> '' THEN 1.0 ELSE 0.0 END AS wer_other,
-    CASE WHEN r <> '' THEN char_edits / length(r) WHEN h <> '' THEN 1.0 ELSE 0.0 END AS cer_target, coalesce(length(hyp) >= 150, false) AS capped FROM e)
+    CASE WHEN r <> '' THEN char_edits / length(r) WHEN h <> '' THEN 1.0 ELSE 0.0 END AS cer_target, CASE WHEN other IS NULL THEN NULL WHEN o <> '' THEN other_char_edits / length(o) WHEN h <> '' THEN 1.0 ELSE 0.0 END AS cer_other, coalesce(length(hyp) >= 150, false) AS capped FROM e)
 """
 _RECORD = """count(*) AS items, round(avg(wer_target), 6) AS wer_target, round(avg(wer_other), 6) AS wer_other, round(avg(cer_target), 6) AS cer_target, round(sum(word_edits) / nullif(sum(ref_words), 0), 6) AS wer_micro,
     round(avg(coalesce(wer_target < wer_other, false)::INT), 6) AS win_rate, round(avg(wer_other - wer_target), 6) AS mean_margin, round(avg(capped::INT), 6) AS cap_rate"""

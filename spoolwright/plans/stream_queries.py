@@ -35,7 +35,7 @@ def stream_phrase_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_stable_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of a recording as successive hypotheses (custom state, no SQL form)."""
+    """Segments of a recording as successive hypotheses (custom state)."""
     return st.drained(st.stable_prefix(st.file_stream(spark, f"{sf_dir}/segment_refs.parquet"), "audio_path", "idx", "text"), "prefix")
 
 
@@ -75,7 +75,14 @@ def csv_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (stream_tumbling, stream_context_windows, stream_speed_stats, stream_phrase_totals, stream_stable_prefix, jsonl_round_trip, csv_round_trip, split_manifests, csv_grown)}
 
+_BLANKS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
 ORACLES = {
+    "stream_context_windows": """WITH w AS (SELECT event_type, unnest([time_bucket(INTERVAL 30 MINUTES, ts), time_bucket(INTERVAL 30 MINUTES, ts) - INTERVAL 30 MINUTES, time_bucket(INTERVAL 30 MINUTES, ts) - INTERVAL 60 MINUTES, time_bucket(INTERVAL 30 MINUTES, ts) - INTERVAL 90 MINUTES]) AS start FROM events)
+SELECT start, event_type, count(*) AS n FROM w WHERE start + INTERVAL 2 HOURS <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY ALL""",
+    "stream_stable_prefix": f"""WITH t AS (SELECT audio_path AS key, idx::BIGINT AS seq, list_filter(string_split_regex(coalesce(text, ''), '{_BLANKS}'), lambda x: x <> '') AS w, row_number() OVER (PARTITION BY audio_path ORDER BY idx, text NULLS LAST) AS r FROM segment_refs WHERE audio_path IS NOT NULL),
+p AS (SELECT *, coalesce(lag(w) OVER (PARTITION BY key ORDER BY r), []) AS v FROM t), s AS (SELECT *, coalesce(list_position(list_transform(range(1, least(len(v), len(w)) + 1), lambda i: v[i] = w[i]), false) - 1, least(len(v), len(w))) AS same FROM p),
+d AS (SELECT *, coalesce(max(same) OVER (PARTITION BY key ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM s) SELECT key, seq, array_to_string(w[done + 1:same], ' ') AS words FROM d WHERE same > done""",
     "stream_tumbling": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL",
     "stream_speed_stats": """WITH s AS (SELECT *, end_time - start_time AS d FROM audio_segments WHERE NOT isnan(start_time) AND NOT isnan(end_time) AND end_time > start_time)
 SELECT is_speech, count(*) AS n, round(sum(d), 4) AS total, round(min(d), 4) AS least, round(max(d), 4) AS most, round(sum(d) / sum(end_time), 6) AS ratio FROM s GROUP BY is_speech""",

@@ -73,7 +73,7 @@ def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: int |
             yield pd.DataFrame({"key": [k[0]], "seq": pd.array([None], "Int64"), "words": [" ".join(words[done:])]})
             return
         out = []
-        for row in pd.concat(list(frames)).sort_values("seq").itertuples():
+        for row in pd.concat(list(frames)).sort_values(["seq", "text"]).itertuples():
             (words, done), fresh = agreed_words((words, done), (row.text or "").split())
             if fresh:
                 out.append((k[0], row.seq, " ".join(fresh)))
