@@ -116,11 +116,13 @@ def overlapping_spans(left: DataFrame, right: DataFrame, on: str, bin_ms: int) -
     """
     sides = [d.where(f"{x}_end > {x}_start").withColumn(f"__{x}", _width(F.col(f"{x}_end") - F.col(f"{x}_start"), bin_ms)) for d, x in ((left, "l"), (right, "r"))]
     widths = sorted({r[0] for d, x in zip(sides, "lr") for r in d.select(f"__{x}").distinct().collect()})  # at most 60
-    binned = []
-    for d, x in zip(sides, "lr"):
-        wide = d.withColumn("__w", F.explode(F.filter(F.lit(widths).cast("array<int>"), lambda w, own=f"__{x}": w >= F.col(own))))
-        binned.append(wide.withColumn("__bin", F.explode(F.sequence(_bin(F.col(f"{x}_start"), bin_ms), _bin(F.col(f"{x}_end") - 1, bin_ms)))))
-    met = binned[0].join(binned[1], [on, "__w", "__bin"]).where("l_start < r_end and r_start < l_end and __w = greatest(__l, __r)")
+
+    def binned(d: DataFrame, x: str) -> DataFrame:
+        wide = d.withColumn("__w", F.explode(F.filter(F.lit(widths).cast("array<int>"), lambda w: w >= F.col(f"__{x}"))))
+        return wide.withColumn("__bin", F.explode(F.sequence(_bin(F.col(f"{x}_start"), bin_ms), _bin(F.col(f"{x}_end") - 1, bin_ms))))
+
+    a, b = (binned(d, x) for d, x in zip(sides, "lr"))
+    met = a.join(b, [on, "__w", "__bin"]).where("l_start < r_end and r_start < l_end and __w = greatest(__l, __r)")
     return met.where(F.col("__bin") == _bin(F.greatest("l_start", "r_start"), bin_ms)).drop("__bin", "__w", "__l", "__r").withColumns({"start_ms": F.greatest("l_start", "r_start"), "end_ms": F.least("l_end", "r_end")})
 
 
