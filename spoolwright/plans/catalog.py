@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("interval_queries", "text_queries", "lookup_queries", "sequence_queries", "metric_queries", "stream_queries", "signal_queries", "manifest_queries", "record_queries")
+MODULES = ("interval_queries", "text_queries", "lookup_queries", "sequence_queries", "metric_queries", "stream_queries", "signal_queries", "manifest_queries", "record_queries", "source_queries")
 
 
 def _modules() -> list:

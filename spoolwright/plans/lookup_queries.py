@@ -37,7 +37,7 @@ def group_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def uid_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base uids by digest where they are missing; uid defaults to it."""
-    made = F.substring(F.sha1(hashing.base_uid_key(F.coalesce("source_audio", "audio_path", F.lit("")), F.coalesce("chunk_index", F.lit(0)), F.lit(0.0), F.lit(0.0))), 1, 16)
+    made = F.substring(F.sha1(hashing.base_uid_key(F.coalesce("source_audio", "audio_path", F.lit("")), F.coalesce("chunk_index", F.lit(0)), F.coalesce("core_start", F.lit(0.0)), F.coalesce("core_end", F.lit(0.0)))), 1, 16)
     base = F.coalesce(F.nullif("base_uid", F.lit("")), made)
     return _rows(spark, sf_dir).select("row_id", base.alias("base_uid"), F.coalesce(F.nullif("uid", F.lit("")), base).alias("uid"))
 
@@ -264,7 +264,7 @@ ORACLES = {
     "path_keys": f"""WITH k AS (SELECT row_id, {_ROOTED} AS file_key FROM manifest_rows WHERE audio_path IS NOT NULL)
 SELECT row_id, file_key, list_last(string_split(file_key, '/')) AS name, coalesce(CASE WHEN contains(file_key, '/chunks/') THEN substr(file_key, instr(file_key, '/chunks/')) END, CASE WHEN contains(file_key, '/recordings/') THEN substr(file_key, instr(file_key, '/recordings/')) END) AS tail FROM k""",
     "group_keys": f"""WITH {_GROUPED} SELECT row_id, g AS group_key FROM k""",
-    "uid_backfill": """WITH b AS (SELECT row_id, uid, coalesce(nullif(base_uid, ''), substr(sha1(concat_ws('|', coalesce(source_audio, audio_path, ''), printf('%06d', coalesce(chunk_index, 0)), '0.000', '0.000')), 1, 16)) AS b FROM manifest_rows)
+    "uid_backfill": """WITH b AS (SELECT row_id, uid, coalesce(nullif(base_uid, ''), substr(sha1(concat_ws('|', coalesce(source_audio, audio_path, ''), printf('%06d', coalesce(chunk_index, 0)), printf('%.3f', coalesce(core_start, 0)), printf('%.3f', coalesce(core_end, 0)))), 1, 16)) AS b FROM manifest_rows)
 SELECT row_id, b AS base_uid, coalesce(nullif(uid, ''), b) AS uid FROM b""",
     "hash_buckets": f"""SELECT doc_id, {_H15.format(k="doc_id::VARCHAR")} % 10000 AS bucket, ('0x' || substr(sha1(doc_id::VARCHAR), 1, 16))::UBIGINT::VARCHAR AS hash,
     array_to_string(list_transform([8, 7, 6, 5, 4, 3, 2, 1], lambda i: substr(md5(doc_id::VARCHAR), 2 * i - 1, 2)), '') AS seed FROM documents""",

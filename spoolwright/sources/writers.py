@@ -46,8 +46,9 @@ def read_grown_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rejected_report(df: DataFrame, reasons: Column, path: str) -> None:
-    """One line for each row and reason."""
-    df.withColumn("reason", F.explode(reasons)).write.mode("overwrite").option("header", True).csv(path)
+    """One line for each row and reason, with the row's plain columns (a CSV holds no arrays, maps or structs)."""
+    plain = [c for c, kind in df.dtypes if not kind.startswith(("array", "map", "struct"))]
+    df.select(*plain, F.explode(reasons).alias("reason")).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_leaderboard(board: DataFrame, path: str) -> None:
