@@ -52,9 +52,10 @@ def without_odd_signs(text: Column) -> Column:
     return collapsed(F.regexp_replace(text, r"[\p{Cc}\p{Cf}]", ""))
 
 
-def odd_characters(text: Column) -> Column:
-    """The characters that are no letters, marks, digits, punctuation or blanks, in order."""
-    return F.regexp_extract_all(text, F.lit(r"([^\p{L}\p{M}\p{N}\p{P}\p{Z}\r\n\t$+<=>^`|~])"), 1)
+def odd_characters(text: Column, strict: bool = False) -> Column:
+    """The characters that are no letters, marks, digits, punctuation or blanks, in order; strict: all but printable ASCII and line breaks."""
+    allowed = r"\x20-\x7E\r\n\t" if strict else r"\p{L}\p{M}\p{N}\p{P}\p{Z}\r\n\t$+<=>^`|~"
+    return F.regexp_extract_all(text, F.lit(f"([^{allowed}])"), 1)
 
 
 def key_words(text: Column) -> Column:

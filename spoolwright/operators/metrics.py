@@ -91,12 +91,15 @@ def pairwise_wins(items: DataFrame, key: str, model: str, value: str, models: li
 
 
 def ecdf(items: DataFrame, group: str, value: str) -> DataFrame:
-    """group, value, share at or below, survival (above or equal) of each different value; groups of equal values are counted before they are ranked."""
-    counted = items.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(group)
-    upto = F.sum("n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    rows = counted.withColumns({"upto": upto, "all": F.sum("n").over(w)})
-    return rows.select(group, value, _round(F.col("upto") / F.col("all")).alias("share"), _round(1 - (F.col("upto") - F.col("n")) / F.col("all")).alias("survival"))
+    """group, value, share at or below, survival (above or equal) of each different value; groups of equal values are counted before they are ranked, and no task holds a group."""
+    from spoolwright.lineage import cut
+    from spoolwright.operators.lookup import joined_apart
+    from spoolwright.operators.order import Laid
+
+    counted = items.where(F.col(group).isNotNull() & F.col(value).isNotNull() & ~F.isnan(value)).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    rows = cut(Laid(counted, group, value, label="ecdf").summed_before(before=F.col("n")).rows(), "ecdf-values")
+    rows = joined_apart(rows, rows.groupBy(group).agg(F.sum("n").alias("all")), group)
+    return rows.select(group, value, _round((F.col("before") + F.col("n")) / F.col("all")).alias("share"), _round(1 - F.col("before") / F.col("all")).alias("survival"))
 
 
 def performance_profile(items: DataFrame, key: str, model: str, value: str, taus: list[float]) -> DataFrame:

@@ -66,6 +66,15 @@ def append_unseen(spark: SparkSession, rows: DataFrame, key: str, out: str, seen
     return made.count()
 
 
+def seeded(spark: SparkSession, source: str, out: str) -> bool:
+    """Copies a table to where a run goes on from, unless one is there already; tells whether it did."""
+    files, where = hadoop_path(spark, out)
+    if files.exists(where):
+        return False
+    spark.read.parquet(source).write.parquet(out)
+    return True
+
+
 def is_original(df: DataFrame) -> Column:
     """Rows that no augmentation has made."""
     return (F.coalesce("aug_stage", F.lit("")) == "") & (F.col("uid").isNull() | F.coalesce(F.col("uid") == F.col("base_uid"), F.lit(True)))

@@ -122,10 +122,16 @@ def taken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.taken(table(spark, sf_dir, "manifest_rows"), "source", "row_id", "text", "audio_path", 20).select("source", "row_id")
 
 
+def strict_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signs outside printable ASCII, and how often they occur."""
+    found = table(spark, sf_dir, "segment_refs").select(F.explode(text.odd_characters(F.col("text"), True)).alias("sign"))
+    return found.groupBy("sign").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        jsonl_modes, jsonl_appended, numbered_text, resumed_files, model_registry, probe_cache, section_handles, path_classes, rejected_rows, leaderboard_files, top_with_base, first_texts, short_names, latest_epochs, seen_once, taken_rows,
+        jsonl_modes, jsonl_appended, numbered_text, resumed_files, model_registry, probe_cache, section_handles, path_classes, rejected_rows, leaderboard_files, top_with_base, first_texts, short_names, latest_epochs, seen_once, taken_rows, strict_census,
     )
 }
 
@@ -150,5 +156,6 @@ SELECT reason, count(*) AS n, CAST(sum(task_id) AS BIGINT) AS ids FROM r GROUP B
 SELECT task_id, CASE WHEN length(n) <= 20 THEN n ELSE left(n, 9) || '…' || right(n, 9) END AS short FROM n""",
     "latest_epochs": "SELECT p_partkey, greatest(p_size, p_partkey % 40)::INT AS epoch FROM part",
     "seen_once": "WITH k AS (SELECT DISTINCT recording_key FROM documents WHERE recording_key IS NOT NULL) SELECT recording_key, count(*) OVER () AS added FROM k",
+    "strict_census": r"SELECT sign, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[^\x20-\x7E\r\n\t]')) AS sign FROM segment_refs) GROUP BY 1",
     "taken_rows": "SELECT source, row_id FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY sha1('17' || row_id::VARCHAR), row_id) AS k FROM manifest_rows) WHERE k <= 20 AND trim(coalesce(text, '')) <> '' AND audio_path IS NOT NULL",
 }

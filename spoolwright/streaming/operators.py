@@ -58,9 +58,10 @@ def agreed_words(state: tuple[list[str], int], words: list[str]) -> tuple[tuple[
     return (words, max(done, same)), fresh
 
 
-def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: int | None = None) -> DataFrame:
+def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: int | None = None, reset: str | None = None) -> DataFrame:
     """key, seq, words: what becomes final with each hypothesis of a growing text. State is one hypothesis for each key.
 
+    reset: a text that is a command: it clears its key's state, and what was not yet final is dropped.
     idle: milliseconds of processing time after which a silent key's rest is given out with seq null and its state dropped, for a stream that goes on (a run over what is there now would not end with it). None keeps
     the state for ever, which is for a fixed set of keys only.
     """
@@ -74,6 +75,9 @@ def stable_prefix(stream: DataFrame, key: str, seq: str, text: str, idle: int |
             return
         out = []
         for row in pd.concat(list(frames)).sort_values(["seq", "text"]).itertuples():
+            if reset is not None and row.text == reset:
+                words, done = [], 0
+                continue
             (words, done), fresh = agreed_words((words, done), (row.text or "").split())
             if fresh:
                 out.append((k[0], row.seq, " ".join(fresh)))
@@ -102,9 +106,24 @@ def drained(result: DataFrame, label: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(result.schema).parquet(f"{place}/out")
 
 
-def append_once(stream: DataFrame, key: str, out: str, seen: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] = lambda d: d) -> int:
-    """Works each key off once, over any number of runs: every batch drops the keys that are done, and the stream's checkpoint skips the files that are. Gives the rows added."""
+def same_signature(spark: SparkSession, checkpoint: str, signature: str) -> None:
+    """Marks a checkpoint with the signature of the work that its state belongs to; raises ValueError where it bears another one."""
+    files, place = hadoop_path(spark, f"{checkpoint}.signature")
+    if not files.exists(place):
+        out = files.create(place, False)
+        out.write(bytearray(signature.encode()))
+        out.close()
+        return
+    found = spark.read.text(f"{checkpoint}.signature", wholetext=True).first()[0]
+    if found != signature:
+        raise ValueError(f"{checkpoint} belongs to {found}, not to {signature}")
+
+
+def append_once(stream: DataFrame, key: str, out: str, seen: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] = lambda d: d, signature: str | None = None) -> int:
+    """Works each key off once, over any number of runs: every batch drops the keys that are done, and the stream's checkpoint skips the files that are. Gives the rows added. With a signature, a checkpoint of other work is refused."""
     added = [0]
+    if signature is not None:
+        same_signature(stream.sparkSession, checkpoint, signature)
 
     def step(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
