@@ -148,10 +148,12 @@ def chunked(r: Records, mask: int = MASK, edits: tuple[int, int] = EDITS) -> Chu
         changed, inserted = np.ones(len(r.h), np.int64), np.zeros(len(r.h), np.int64)
     most, most_in = _largest(changed, owner), _largest(inserted, owner)
     upto = lambda sums, k: sums[r.starts[:-1] + np.clip(k, 0, n)] - sums[r.starts[:-1]]
-    lost = np.zeros(len(n), np.int64)
-    for more in range(int(n.max(initial=0)) * num // (den - num) + 1):  # words by which the other record is longer; so many edits are insertions
+    # of a long record every edit may be of the worst kind; an insertion loses no more than a change of the word behind it
+    lost = np.where(n > PAIR_WORDS, upto(most, n * den // (den - num) * num // den), 0)
+    short = np.minimum(n, PAIR_WORDS)
+    for more in range(int(short.max(initial=0)) * num // (den - num) + 1):  # words by which the other record is longer; so many edits are insertions
         k = (n + more) * num // den
-        lost = np.maximum(lost, np.where(k >= more, upto(most, k - more) + upto(most_in, np.full(len(n), more)), 0))
+        lost = np.maximum(lost, np.where((n <= PAIR_WORDS) & (k >= more), upto(most, k - more) + upto(most_in, np.full(len(n), more)), 0))
     count = np.diff(begins)
     lost = np.minimum(lost, count)
     shortest = np.r_[0, np.cumsum(length[np.lexsort((length, np.repeat(np.arange(len(n)), count)))])]
